@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.operators.numbering import lay_out, running_offset, slot_partition
+from tallyworks.operators.skew import crowded_keys
 from tallyworks.sources.storage import freeze
 
 MONEY = "decimal(14,2)"
@@ -37,9 +38,8 @@ def reset_accumulator(
     never reach the limit are returned only with ``keep_zero``.
     """
     rows = df.select(key, *order, F.col(amount).cast(MONEY).alias("_amount"))
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    long_keys = freeze(sizes.where(F.col("_rows") > fold_rows).select(key), "long_keys")
-    if long_keys.isEmpty():
+    long_keys = crowded_keys(rows, key, fold_rows)
+    if long_keys is None:
         counted = _fold(rows, key, order, limit, cap)
     else:
         counted = _fold(rows.join(long_keys, key, "left_anti"), key, order, limit, cap).unionByName(

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.dates import month_start
 from tallyworks.functions.text import pieces
+from tallyworks.operators.skew import crowded_keys
 
+FEW_CONTRACTS = 64  # contracts per client still compared one by one
 EXPOSURE_KEYS = ("client_id", "tax_id", "deal_id", "source_deal_no", "source_dpd")
 
 
@@ -41,22 +43,43 @@ def deal_enrich(exposure: DataFrame, deals: DataFrame, snapshot: DataFrame) -> D
     )
 
 
-def contract_text_match(exposure: DataFrame, contracts: DataFrame) -> DataFrame:
+def contract_text_match(
+    exposure: DataFrame, contracts: DataFrame, few: int = FEW_CONTRACTS
+) -> DataFrame:
     """Deals whose number contains a contract number of the same client.
 
-    A contract number lies inside a deal number exactly when it is one of the
-    deal number's substrings. So each deal is expanded to its substrings of the
-    lengths its client's contracts have, and matched by equality. A client with
-    very many contracts costs no deal-by-contract comparison.
+    A client's few contracts are compared one by one. For a client with more
+    than ``few`` of them the pairs would grow with both sides, so there the
+    containment becomes an equality: a contract number lies inside a deal number
+    exactly when it is one of the deal number's substrings.
     """
     usable = contracts.withColumn("_no", F.rtrim("contract_no")).where(F.col("_no") != "")
-    lengths = usable.groupBy("tax_id").agg(F.collect_set(F.length("_no")).alias("_lengths"))
+    shown = [*exposure.columns, "contract_no", "contract_id", "credit_limit"]
+    crowded = crowded_keys(usable, "tax_id", few)
+    if crowded is None:
+        return _compare_each(exposure, usable).select(*shown)
+    ordinary = usable.join(crowded, "tax_id", "left_anti")
+    many = usable.join(crowded, "tax_id", "left_semi")
+    return (
+        _compare_each(exposure, ordinary)
+        .select(*shown)
+        .unionByName(_compare_substrings(exposure, many).select(*shown))
+    )
+
+
+def _compare_each(exposure: DataFrame, contracts: DataFrame) -> DataFrame:
+    return exposure.join(contracts, "tax_id").where(
+        F.contains(F.col("source_deal_no"), F.col("_no"))
+    )
+
+
+def _compare_substrings(exposure: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Substrings are only taken in the lengths the client's contract numbers have."""
+    lengths = contracts.groupBy("tax_id").agg(F.collect_set(F.length("_no")).alias("_lengths"))
     expanded = exposure.join(lengths, "tax_id").withColumn(
         "_no", F.explode(pieces(F.col("source_deal_no"), F.col("_lengths")))
     )
-    return expanded.join(usable, ["tax_id", "_no"]).select(
-        *exposure.columns, "contract_no", "contract_id", "credit_limit"
-    )
+    return expanded.join(contracts, ["tax_id", "_no"])
 
 
 def card_snapshot(daily: DataFrame, contracts: DataFrame, as_of: dt.date) -> DataFrame:

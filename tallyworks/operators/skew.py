@@ -1,0 +1,19 @@
+"""Finding the keys that hold more rows than one task should take."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallyworks.sources.storage import freeze
+
+
+def crowded_keys(df: DataFrame, key: str, limit: int) -> DataFrame | None:
+    """Keys with more than ``limit`` rows, or None when there are none.
+
+    Rows are counted before the shuffle, so a hot key costs no more than others.
+    The answer is stored: what depends on it must not see two versions.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    crowded = freeze(counts.where(F.col("_n") > limit).select(key), "crowded")
+    return None if crowded.isEmpty() else crowded

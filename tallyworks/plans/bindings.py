@@ -6,13 +6,11 @@ Every role covers its whole table; the oracle SQL uses the same formulas.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.functions.dates import months_before, previous_month_end
-from tallyworks.functions.values import money
 from tallyworks.sources.storage import load
 
 # fixed values: the day the test data is looked at, and dates around it
@@ -26,26 +24,27 @@ EARLY_REPORT = dt.date(2001, 6, 15)
 MONTH_COLS = tuple(f"paid_{k}m" for k in range(1, 7))
 WIDE_MONTHS = tuple(range(2, 37))
 
+ORDER_TAX_ID = "lpad(CAST(o_custkey AS STRING), 10, '0')"
+DEAL_NO = "concat('D', o_orderkey, '-', o_orderstatus)"
+BASE_DELAY = "(o_custkey * 7) % 100 + o_orderkey % 5"
+RATE = "CAST(1 + n_nationkey * 0.1BD AS DECIMAL(10,4))"
 
-def _tax_id(key: str) -> Column:
-    return F.lpad(F.col(key).cast("string"), 10, "0")
 
+def _money(column: str) -> str:
+    return f"CAST({column} AS DECIMAL(14,2))"
 
-def _deal_no() -> Column:
-    return F.concat(F.lit("D"), F.col("o_orderkey"), F.lit("-"), F.col("o_orderstatus"))
 
-
-def _base_delay() -> Column:
-    return (F.col("o_custkey") * 7) % 100 + F.col("o_orderkey") % 5
+def _share(column: str, part: str) -> str:
+    """Exact fraction of an amount."""
+    return f"CAST({_money(column)} * {part}BD AS DECIMAL(18,4))"
 
 
-def _share(name: str, part: str) -> Column:
-    """Exact fraction of an amount."""
-    return (money(F.col(name)) * F.lit(part).cast("decimal(3,2)")).cast("decimal(18,4)")
+def _day(column: str) -> str:
+    return f"CAST({column} AS DATE)"
 
 
-def _day(name: str) -> Column:
-    return F.col(name).cast("date")
+def _dates(days) -> str:
+    return "array(" + ", ".join(f"DATE '{day}'" for day in days) + ")"
 
 
 @dataclass(frozen=True)
@@ -54,115 +53,107 @@ class Roles:
 
     spark: SparkSession
     folder: str
+    _tables: dict[str, DataFrame] = field(default_factory=dict, compare=False, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return load(self.spark, self.folder, name)
+        """One stored table; its footer is read once however often it is used."""
+        if name not in self._tables:
+            self._tables[name] = load(self.spark, self.folder, name)
+        return self._tables[name]
 
     @property
     def portfolio(self) -> DataFrame:
-        orders = self.table("orders").select(
-            "o_orderkey",
-            F.col("o_custkey").alias("client_id"),
-            _tax_id("o_custkey").alias("tax_id"),
-            _deal_no().alias("source_deal_no"),
-            _base_delay().alias("source_dpd"),
+        orders = self.table("orders").selectExpr(
+            "o_orderkey AS deal_id",
+            "o_custkey AS client_id",
+            f"{ORDER_TAX_ID} AS tax_id",
+            f"{DEAL_NO} AS source_deal_no",
+            f"{BASE_DELAY} AS source_dpd",
+            f"DATE '{MAX_DATE}' AS report_date",
         )
-        lines = self.table("lineitem").select(
-            F.col("l_orderkey").alias("o_orderkey"), money(F.col("l_extendedprice")).alias("amount")
-        )
-        return (
-            orders.join(lines, "o_orderkey")
-            .withColumnRenamed("o_orderkey", "deal_id")
-            .withColumn("report_date", F.lit(MAX_DATE))
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey AS deal_id", f"{_money('l_extendedprice')} AS amount"
         )
+        return orders.join(lines, "deal_id")
 
     @property
     def deals(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("deal_id"),
-            _deal_no().alias("deal_no"),
-            F.col("o_custkey").alias("client_id"),
-            F.col("o_orderpriority").alias("portfolio_type"),
-            (F.col("o_orderkey") % 25).cast("int").alias("interest_rate"),
+        return self.table("orders").selectExpr(
+            "o_orderkey AS deal_id",
+            f"{DEAL_NO} AS deal_no",
+            "o_custkey AS client_id",
+            "o_orderpriority AS portfolio_type",
+            "CAST(o_orderkey % 25 AS INT) AS interest_rate",
         )
 
-    def _dated(self, orders: DataFrame) -> DataFrame:
+    def _dated(self, orders: DataFrame, *columns: str) -> DataFrame:
         """Each order at every snapshot date it existed, with its delay by then."""
         opened = _day("o_orderdate")
-        delay = F.least(
-            _base_delay(), F.datediff(F.col("report_date"), opened).cast("long")
-        )
         return (
-            orders.withColumn(
-                "report_date", F.explode(F.array(*[F.lit(d) for d in SNAPSHOT_DATES]))
+            orders.selectExpr("*", f"explode({_dates(SNAPSHOT_DATES)}) AS report_date")
+            .where(f"{opened} <= report_date")
+            .selectExpr(
+                "*",
+                f"least({BASE_DELAY}, CAST(datediff(report_date, {opened}) AS BIGINT)) AS dpd",
+                "dpd div 30 AS bucket",
             )
-            .where(opened <= F.col("report_date"))
-            .withColumn("dpd", delay)
-            .withColumn("bucket", F.expr("dpd div 30"))
+            .selectExpr(*columns, "report_date", "dpd", "bucket")
         )
 
     @property
     def balances(self) -> DataFrame:
-        zero = F.lit("0").cast("decimal(18,4)")
         principal = _share("o_totalprice", "0.02")
-        return self._dated(self.table("orders")).select(
-            F.col("o_orderkey").alias("deal_id"),
-            "report_date",
-            "dpd",
-            "bucket",
-            principal.alias("principal"),
-            zero.alias("past_principal"),
-            zero.alias("interest"),
-            zero.alias("past_interest"),
-            principal.alias("outstanding"),
+        nothing = "CAST(0 AS DECIMAL(18,4))"
+        return self._dated(
+            self.table("orders"),
+            "o_orderkey AS deal_id",
+            f"{principal} AS principal",
+            f"{nothing} AS past_principal",
+            f"{nothing} AS interest",
+            f"{nothing} AS past_interest",
+            f"{principal} AS outstanding",
         )
 
     def _card_orders(self) -> DataFrame:
-        return self.table("orders").where(F.col("o_orderstatus") == "P")
+        return self.table("orders").where("o_orderstatus = 'P'")
 
     @property
     def cards(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        return self._card_orders().select(
-            key.alias("contract_id"),
-            _tax_id("o_custkey").alias("tax_id"),
-            F.when(key % 50 == 0, "")
-            .otherwise(F.concat(key.cast("string"), F.lit("  ")))
-            .alias("contract_no"),
-            F.when(key % 3 != 0, _share("o_totalprice", "0.05")).alias("credit_limit"),
-            F.when(key % 5 == 0, "CC_A_Club").otherwise("CC").alias("subgroup"),
+        return self._card_orders().selectExpr(
+            "o_orderkey AS contract_id",
+            f"{ORDER_TAX_ID} AS tax_id",
+            "if(o_orderkey % 50 = 0, '', concat(o_orderkey, '  ')) AS contract_no",
+            f"if(o_orderkey % 3 = 0, NULL, {_share('o_totalprice', '0.05')}) AS credit_limit",
+            "if(o_orderkey % 5 = 0, 'CC_A_Club', 'CC') AS subgroup",
         )
 
     @property
     def card_daily(self) -> DataFrame:
-        return self._dated(self._card_orders()).select(
-            F.col("o_orderkey").alias("contract_id"), "report_date", "dpd", "bucket"
-        )
+        return self._dated(self._card_orders(), "o_orderkey AS contract_id")
 
     @property
     def card_usage(self) -> DataFrame:
-        return self.table("orders").where(F.col("o_orderpriority") != "5-LOW").select(
-            F.col("o_orderkey").alias("contract_id"),
-            _share("o_totalprice", "0.01").alias("outstanding"),
+        return self.table("orders").where("o_orderpriority <> '5-LOW'").selectExpr(
+            "o_orderkey AS contract_id", f"{_share('o_totalprice', '0.01')} AS outstanding"
         )
 
     @property
     def ledger_contracts(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("contract_id"), _tax_id("o_custkey").alias("tax_id")
+        return self.table("orders").selectExpr(
+            "o_orderkey AS contract_id", f"{ORDER_TAX_ID} AS tax_id"
         )
 
     def _ledger(self, lines: DataFrame) -> DataFrame:
-        suppliers = self.table("supplier").select(
-            F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("currency")
-        )
-        return lines.join(suppliers, "l_suppkey").select(
-            _day("l_shipdate").alias("real_date"),
-            _day("l_shipdate").alias("oper_date"),
-            F.col("l_orderkey").alias("contract_id"),
-            money(F.col("l_extendedprice")).alias("amount"),
-            F.col("l_linenumber").alias("trans_id"),
-            F.col("l_returnflag").alias("description"),
+        suppliers = self.table("supplier").selectExpr(
+            "s_suppkey AS l_suppkey", "s_nationkey AS currency"
+        )
+        return lines.join(suppliers, "l_suppkey").selectExpr(
+            f"{_day('l_shipdate')} AS real_date",
+            f"{_day('l_shipdate')} AS oper_date",
+            "l_orderkey AS contract_id",
+            f"{_money('l_extendedprice')} AS amount",
+            "l_linenumber AS trans_id",
+            "l_returnflag AS description",
             "currency",
         )
 
@@ -172,250 +163,234 @@ class Roles:
 
     @property
     def ledger_open(self) -> DataFrame:
-        return self._ledger(self.table("lineitem").where(F.col("l_linestatus") == "O"))
-
-    def _rate(self) -> Column:
-        return (1 + F.col("n_nationkey") * F.lit("0.1").cast("decimal(2,1)")).cast("decimal(10,4)")
+        return self._ledger(self.table("lineitem").where("l_linestatus = 'O'"))
 
     @property
     def day_rates(self) -> DataFrame:
-        first, last = (F.lit(day) for day in RATE_DAYS)
-        return self.table("nation").select(
-            F.explode(F.sequence(first, last)).alias("oper_date"),
-            F.col("n_nationkey").alias("ccy_from"),
-            F.when(F.col("n_regionkey") == 2, "USD").otherwise("UAH").alias("ccy_to"),
-            self._rate().alias("rate"),
+        first, last = RATE_DAYS
+        return self.table("nation").selectExpr(
+            f"explode(sequence(DATE '{first}', DATE '{last}')) AS oper_date",
+            "n_nationkey AS ccy_from",
+            "if(n_regionkey = 2, 'USD', 'UAH') AS ccy_to",
+            f"{RATE} AS rate",
         )
 
     @property
     def latest_rates(self) -> DataFrame:
-        return self.table("nation").where(F.col("n_regionkey") != 2).select(
-            F.col("n_nationkey").alias("currency_code"),
-            F.explode(F.array(*[F.lit(day) for day in RATE_DATES])).alias("rate_date"),
-            self._rate().alias("rate"),
+        return self.table("nation").where("n_regionkey <> 2").selectExpr(
+            "n_nationkey AS currency_code",
+            f"explode({_dates(RATE_DATES)}) AS rate_date",
+            f"{RATE} AS rate",
         )
 
     @property
     def salary_wide(self) -> DataFrame:
-        report = F.when(F.col("o_custkey") % 4 == 0, F.lit(EARLY_REPORT)).otherwise(F.lit(AS_OF))
-        orders = self.table("orders").select(
-            F.col("o_orderkey").alias("l_orderkey"),
-            _tax_id("o_custkey").alias("tax_id"),
-            report.alias("report_date"),
+        orders = self.table("orders").selectExpr(
+            "o_orderkey AS l_orderkey",
+            f"{ORDER_TAX_ID} AS tax_id",
+            f"if(o_custkey % 4 = 0, DATE '{EARLY_REPORT}', DATE '{AS_OF}') AS report_date",
         )
-        lines = self.table("lineitem").where(F.col("l_linestatus") == "F").select(
+        lines = self.table("lineitem").where("l_linestatus = 'F'").selectExpr(
             "l_orderkey",
-            F.last_day(_day("l_shipdate")).alias("month"),
-            money(F.col("l_extendedprice")).alias("amount"),
-        )
-        months = [
-            F.sum(
-                F.when(
-                    F.col("month") == F.last_day(F.add_months("report_date", -k)), F.col("amount")
-                )
-            )
-            .cast("decimal(20,2)")
-            .alias(name)
-            for k, name in enumerate(MONTH_COLS, start=1)
-        ]
-        return orders.join(lines, "l_orderkey").groupBy("tax_id", "report_date").agg(*months)
+            f"last_day({_day('l_shipdate')}) AS month",
+            f"{_money('l_extendedprice')} AS amount",
+        )
+        months = orders.join(lines, "l_orderkey").selectExpr(
+            "tax_id",
+            "report_date",
+            *[
+                f"if(month = last_day(add_months(report_date, -{k})), amount, NULL) AS {name}"
+                for k, name in enumerate(MONTH_COLS, start=1)
+            ],
+        )
+        sums = months.groupBy("tax_id", "report_date").sum(*MONTH_COLS)
+        return sums.selectExpr(
+            "tax_id",
+            "report_date",
+            *[f"CAST(`sum({name})` AS DECIMAL(20,2)) AS {name}" for name in MONTH_COLS],
+        )
 
     @property
     def clients(self) -> DataFrame:
-        return self.table("customer").select(
-            F.col("c_custkey").alias("client_id"), _tax_id("c_custkey").alias("tax_id")
+        return self.table("customer").selectExpr(
+            "c_custkey AS client_id", "lpad(CAST(c_custkey AS STRING), 10, '0') AS tax_id"
         )
 
     @property
     def schedule(self) -> DataFrame:
-        price = F.col("l_extendedprice")
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("deal_id"),
-            _day("l_shipdate").alias("arc_date"),
-            F.when(F.col("l_linestatus") == "O", 0).otherwise(1).alias("status"),
-            money(price).alias("principal"),
-            (money(price) * money(F.col("l_tax"))).cast("decimal(14,2)").alias("interest"),
-            (money(price) * money(F.col("l_discount"))).cast("decimal(14,2)").alias("fee"),
-            money(F.col("l_quantity")).alias("rest"),
+        price = _money("l_extendedprice")
+        return self.table("lineitem").selectExpr(
+            "l_orderkey AS deal_id",
+            f"{_day('l_shipdate')} AS arc_date",
+            "if(l_linestatus = 'O', 0, 1) AS status",
+            f"{price} AS principal",
+            f"CAST({price} * {_money('l_tax')} AS DECIMAL(14,2)) AS interest",
+            f"CAST({price} * {_money('l_discount')} AS DECIMAL(14,2)) AS fee",
+            f"{_money('l_quantity')} AS rest",
         )
 
     @property
     def deal_currency(self) -> DataFrame:
-        customers = self.table("customer").select(
-            F.col("c_custkey").alias("client_id"),
-            F.when(F.col("c_nationkey") % 2 != 0, F.col("c_nationkey")).alias("currency_id"),
+        customers = self.table("customer").selectExpr(
+            "c_custkey AS o_custkey", "if(c_nationkey % 2 = 0, NULL, c_nationkey) AS currency_id"
+        )
+        return self.table("orders").join(customers, "o_custkey").selectExpr(
+            f"{DEAL_NO} AS deal_no", "currency_id"
         )
-        return self.deals.join(customers, "client_id").select("deal_no", "currency_id")
 
     @property
     def vintage(self) -> DataFrame:
         opened = _day("o_orderdate")
-        term = (12 + F.col("o_orderkey") % 60).cast("int")
-        return self.table("orders").select(
-            _tax_id("o_custkey").alias("tax_id"),
-            _deal_no().alias("deal_no"),
-            F.col("o_orderkey").alias("deal_id"),
-            F.add_months(opened, term).alias("expected_close"),
-            F.when(F.col("o_orderstatus") == "F", opened).alias("close_date"),
+        return self.table("orders").selectExpr(
+            f"{ORDER_TAX_ID} AS tax_id",
+            f"{DEAL_NO} AS deal_no",
+            "o_orderkey AS deal_id",
+            f"add_months({opened}, CAST(12 + o_orderkey % 60 AS INT)) AS expected_close",
+            f"if(o_orderstatus = 'F', {opened}, NULL) AS close_date",
         )
 
     @property
     def large_requests(self) -> DataFrame:
         """Requests with incomes over all bands, the top bound and no income among them."""
-        key = F.col("c_custkey")
-        income = (
-            F.when(key % 50 == 0, F.lit(None))
-            .when(key % 51 == 0, F.lit(18000))
-            .otherwise(money(F.col("c_acctbal")) * 2)
-            .cast("decimal(14,2)")
-        )
-        customers = self.table("customer").select(
-            key.alias("o_custkey"), income.alias("income")
-        )
-        return self.table("orders").join(customers, "o_custkey").select(
-            F.col("o_custkey").alias("client_id"),
-            _tax_id("o_custkey").alias("tax_id"),
-            F.col("o_orderkey").alias("deal_id"),
+        customers = self.table("customer").selectExpr(
+            "c_custkey AS o_custkey",
+            f"""CAST(CASE WHEN c_custkey % 50 = 0 THEN NULL WHEN c_custkey % 51 = 0 THEN 18000
+                ELSE {_money('c_acctbal')} * 2 END AS DECIMAL(14,2)) AS income""",
+        )
+        return self.table("orders").join(customers, "o_custkey").selectExpr(
+            "o_custkey AS client_id",
+            f"{ORDER_TAX_ID} AS tax_id",
+            "o_orderkey AS deal_id",
             "income",
-            _share("o_totalprice", "0.02").alias("payment"),
-            F.when(F.col("o_orderstatus") == "P", "Low").otherwise("High").alias("amount_type"),
+            f"{_share('o_totalprice', '0.02')} AS payment",
+            "if(o_orderstatus = 'P', 'Low', 'High') AS amount_type",
         )
 
     @property
     def iterations(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        share = (key % 100).cast("decimal(5,2)") * F.lit("0.01").cast("decimal(3,2)")
-        return self.table("orders").select(
-            _tax_id("o_custkey").alias("tax_id"),
-            key.alias("iteration_id"),
-            (key % 7).alias("order_no"),
-            F.when(key % 11 != 0, share.cast("decimal(5,2)")).alias("dti"),
-            money(F.col("o_totalprice")).alias("income"),
+        return self.table("orders").selectExpr(
+            f"{ORDER_TAX_ID} AS tax_id",
+            "o_orderkey AS iteration_id",
+            "o_orderkey % 7 AS order_no",
+            "if(o_orderkey % 11 = 0, NULL, CAST(o_orderkey % 100 * 0.01BD AS DECIMAL(5,2))) AS dti",
+            f"{_money('o_totalprice')} AS income",
         )
 
     @property
     def dated_publication(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_custkey").alias("client_id"), F.last_day("o_orderdate").alias("report_date")
+        return self.table("orders").selectExpr(
+            "o_custkey AS client_id", "last_day(o_orderdate) AS report_date"
         )
 
     @property
     def sessions(self) -> DataFrame:
-        key = F.col("event_id")
-        leader = key % 5 == 0
-        return self.table("events").select(
-            key.alias("session_id"),
-            F.concat(F.lit("u"), F.col("user_id") % 10).alias("login"),
-            F.when(~leader, key - key % 5).alias("blocking_id"),
-            F.when(leader, 4).otherwise(0).alias("blocked_count"),
-            F.col("event_type").alias("program"),
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("start_time"),
+        return self.table("events").selectExpr(
+            "event_id AS session_id",
+            "concat('u', user_id % 10) AS login",
+            "if(event_id % 5 = 0, NULL, event_id - event_id % 5) AS blocking_id",
+            "if(event_id % 5 = 0, 4, 0) AS blocked_count",
+            "event_type AS program",
+            "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS start_time",
         )
 
     @property
     def badges(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        return self.table("orders").select(
-            F.when(key % 10 == 0, "   ")
-            .otherwise(F.concat(F.lit("  C"), F.col("o_custkey").cast("string"), F.lit(" ")))
-            .alias("badge"),
-            _day("o_orderdate").alias("issued"),
+        return self.table("orders").selectExpr(
+            "if(o_orderkey % 10 = 0, '   ', concat('  C', o_custkey, ' ')) AS badge",
+            f"{_day('o_orderdate')} AS issued",
         )
 
     def month_wide(self, line_status: str) -> DataFrame:
         """Per client: first ship date and sum of each of the months before the as-of date."""
-        ends = {k: months_before(AS_OF, k) for k in WIDE_MONTHS}
-        orders = self.table("orders").select(
-            F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("client_id")
-        )
-        lines = self.table("lineitem").where(F.col("l_linestatus") == line_status).select(
+        orders = self.table("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey AS client_id")
+        lines = self.table("lineitem").where(f"l_linestatus = '{line_status}'").selectExpr(
             "l_orderkey",
-            _day("l_shipdate").alias("day"),
-            F.last_day(_day("l_shipdate")).alias("month"),
-            money(F.col("l_extendedprice")).alias("amount"),
+            f"{_day('l_shipdate')} AS day",
+            f"last_day({_day('l_shipdate')}) AS month",
+            f"{_money('l_extendedprice')} AS amount",
+        )
+        # one row per client and month first, so the shuffle to the wide form is narrow
+        monthly = (
+            orders.join(lines, "l_orderkey")
+            .where(
+                f"month BETWEEN DATE '{months_before(AS_OF, WIDE_MONTHS[-1])}' AND "
+                f"DATE '{months_before(AS_OF, WIDE_MONTHS[0])}'"
+            )
+            .groupBy("client_id", "month")
+            .agg({"day": "min", "amount": "sum"})
         )
         figures = []
-        for k, end in ends.items():
-            here = F.col("month") == F.lit(end)
-            figures.append(F.min(F.when(here, F.col("day"))).alias(f"opened_{k}"))
-            figures.append(
-                F.sum(F.when(here, F.col("amount"))).cast("decimal(20,2)").alias(f"limit_{k}")
-            )
-        return orders.join(lines, "l_orderkey").groupBy("client_id").agg(*figures)
+        for k in WIDE_MONTHS:
+            here = f"FILTER (WHERE month = DATE '{months_before(AS_OF, k)}')"
+            figures.append(f"min(`min(day)`) {here} AS opened_{k}")
+            figures.append(f"CAST(sum(`sum(amount)`) {here} AS DECIMAL(20,2)) AS limit_{k}")
+        wide = self.spark.sql(
+            f"SELECT client_id, {', '.join(figures)} FROM {{monthly}} GROUP BY client_id",
+            monthly=monthly,
+        )
+        everyone = orders.join(lines, "l_orderkey").select("client_id").distinct()
+        return everyone.join(wide, "client_id", "left")
 
     @property
     def order_lines(self) -> DataFrame:
         """Order details; the quantity of a seventh line is not known."""
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("part_id"),
-            F.when(F.col("l_linenumber") != 7, F.col("l_quantity").cast("decimal(10,2)")).alias(
-                "quantity"
-            ),
-            money(F.col("l_extendedprice")).alias("unit_price"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "l_partkey AS part_id",
+            "if(l_linenumber = 7, NULL, CAST(l_quantity AS DECIMAL(10,2))) AS quantity",
+            f"{_money('l_extendedprice')} AS unit_price",
         )
 
     @property
     def order_headers(self) -> DataFrame:
-        urgent = F.col("o_orderpriority") == "1-URGENT"
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.when(urgent, F.lit("0.05")).otherwise(F.lit("0.00")).cast("decimal(4,2)").alias(
-                "discount"
-            ),
-            money(F.col("o_totalprice")).alias("freight"),
+        return self.table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            "CAST(if(o_orderpriority = '1-URGENT', 0.05BD, 0BD) AS DECIMAL(4,2)) AS discount",
+            f"{_money('o_totalprice')} AS freight",
         )
 
     @property
     def faulty_headers(self) -> DataFrame:
         """An import with missing and unknown customers, repeated orders and bad amounts."""
-        key = F.col("o_orderkey")
-        copies = F.when(key % 101 == 0, 2).otherwise(1)
-        return self.table("orders").select(
-            key.alias("order_id"),
-            F.when(key % 97 == 0, F.lit(None))
-            .when(key % 89 == 0, -key)
-            .otherwise(F.col("o_custkey"))
-            .alias("customer_id"),
-            F.when(key % 103 == 0, F.concat(F.lit("x"), key.cast("string")))
-            .otherwise(money(F.col("o_totalprice")).cast("string"))
-            .alias("amount_text"),
-            F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
+        return self.table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            """CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 89 = 0 THEN -o_orderkey
+               ELSE o_custkey END AS customer_id""",
+            f"""if(o_orderkey % 103 = 0, concat('x', o_orderkey),
+               CAST({_money('o_totalprice')} AS STRING)) AS amount_text""",
+            "explode(sequence(1, if(o_orderkey % 101 = 0, 2, 1))) AS copy",
         )
 
     @property
     def faulty_details(self) -> DataFrame:
-        key = F.col("l_orderkey")
-        return self.table("lineitem").select(
-            key.alias("order_id"),
-            F.when((key % 107 == 0) & (F.col("l_linenumber") == 1), -F.col("l_partkey") - 1)
-            .otherwise(F.col("l_partkey"))
-            .alias("part_id"),
-            F.col("l_linenumber").alias("line_no"),
-            money(F.col("l_extendedprice")).alias("amount"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "if(l_orderkey % 107 = 0 AND l_linenumber = 1, -l_partkey - 1, l_partkey) AS part_id",
+            "l_linenumber AS line_no",
+            f"{_money('l_extendedprice')} AS amount",
         )
 
     @property
     def price_lines(self) -> DataFrame:
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("part_id"),
-            F.col("l_linenumber").alias("line_no"),
-            F.col("l_extendedprice").cast("decimal(14,4)").alias("unit_price"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "l_partkey AS part_id",
+            "l_linenumber AS line_no",
+            "CAST(l_extendedprice AS DECIMAL(14,4)) AS unit_price",
         )
 
     @property
     def customer_orders(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderkey").alias("order_id"),
-            _day("o_orderdate").alias("order_date"),
-            money(F.col("o_totalprice")).alias("amount"),
+        return self.table("orders").selectExpr(
+            "o_custkey AS customer_id",
+            "o_orderkey AS order_id",
+            f"{_day('o_orderdate')} AS order_date",
+            f"{_money('o_totalprice')} AS amount",
         )
 
     @property
     def customer_names(self) -> DataFrame:
-        return self.table("customer").select(
-            F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name")
+        return self.table("customer").selectExpr(
+            "c_custkey AS customer_id", "c_name AS customer_name"
         )

@@ -25,7 +25,7 @@ def readiness_gate(
     """
     last_end = previous_month_end(as_of)
     in_last_month = (F.col("real_date") >= F.lit(month_start(last_end))) & (
-        F.col("real_date") <= F.lit(last_end)
+        F.col("real_date") < F.lit(month_start(as_of))
     )
     newest = published.agg(F.max("report_date")).scalar()
     last_published = (
@@ -44,7 +44,7 @@ def readiness_gate(
     other = lambda actual, expected: actual != expected
     checks = [
         row(ledger.where(in_last_month), "ledger_complete", F.lit(last_end),
-            F.max("real_date"), same),
+            F.max("real_date").cast("date"), same),
         row(source, "source_fresh", F.lit(last_end), F.max("report_date"), same),
         row(target, "not_loaded_yet", F.lit(month_end(as_of)),
             F.last_day(F.max("input_date")), other),

@@ -4,7 +4,7 @@
 rows are range-partitioned and sorted by the ordering columns, written once, and
 each row's number is its place inside its partition plus the size of the
 partitions before it. A key holding a large share of the rows is spread over
-several partitions as long as the ordering columns differ.
+several partitions.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tallyworks.sources.storage import freeze
 
@@ -25,8 +26,13 @@ def _columns(names: Sequence[str | Column]) -> list[Column]:
 
 
 def lay_out(df: DataFrame, order_by: Sequence[str | Column], slot: str = "_slot") -> DataFrame:
-    """Store ``df`` sorted over range partitions, with an ascending ``slot`` per row."""
-    order = _columns(order_by)
+    """Store ``df`` sorted over range partitions, with an ascending ``slot`` per row.
+
+    A hash of the row ends the ordering: rows with equal ordering columns are
+    spread over partitions too, and keep their order when a task is repeated.
+    """
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    order = [*_columns(order_by), F.xxhash64(*hashed)]
     return freeze(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -36,6 +36,7 @@ from tallyworks.plans.bindings import (
     Roles,
 )
 from tallyworks.plans.risk import RiskReport, RiskSources
+from tallyworks.sources.sinks import append_rows
 from tallyworks.sources.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,8 +260,8 @@ def client_risk_report(r: Roles) -> DataFrame:
 @query
 def publish_report(r: Roles) -> DataFrame:
     path = scratch_path(r.spark, "report")
-    classes.publish_report(_plain_classes(r), EARLIER).write.parquet(path)
-    classes.publish_report(_plain_classes(r), AS_OF).write.mode("append").parquet(path)
+    for day in (EARLIER, AS_OF):
+        append_rows(classes.publish_report(_plain_classes(r), day), path)
     return r.spark.read.parquet(path)
 
 

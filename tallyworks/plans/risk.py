@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.dates import month_start, months_before, previous_month_end
 from tallyworks.operators import classes, exposure, income, payments
+from tallyworks.operators.gate import gate_outcome
+from tallyworks.sources.sinks import append_rows, replace_rows
 from tallyworks.sources.storage import freeze
 
 
@@ -105,3 +107,20 @@ class RiskReport:
 
     def report(self) -> DataFrame:
         return classes.publish_report(self.classes(), self.as_of)
+
+
+def run_scoring(
+    report: RiskReport, checks: DataFrame, report_path: str, export_path: str
+) -> str:
+    """The whole job: check, publish, replace the export. Returns what was decided.
+
+    ``checks`` comes from the readiness gate. Its "not loaded yet" check keeps a
+    repeated start from publishing a month twice.
+    """
+    outcome = gate_outcome(checks).first()["outcome"]
+    if outcome != "run":
+        return outcome
+    append_rows(report.report(), report_path)
+    published = checks.sparkSession.read.parquet(report_path)
+    replace_rows(classes.latest_publication(published), export_path)
+    return outcome

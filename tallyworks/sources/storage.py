@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_FROZEN: list[str] = []
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,28 +52,39 @@ def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _FROZEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_frozen(spark: SparkSession) -> int:
+    """Delete the tables ``freeze`` wrote in this process; for when their results are used up."""
+    dropped = 0
+    while _FROZEN:
+        target, system = _file_system(spark, _FROZEN.pop())
+        dropped += system.delete(target, True)
+    return dropped
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds a finished write (the commit marker is there)."""
     return _exists(spark, f"{path}/_SUCCESS")
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    target, system = _file_system(spark, path)
     return system.exists(target)
 
 
 def list_folders(spark: SparkSession, root: str) -> list[str]:
     """Sub-folders of ``root`` in name order; none when it does not exist."""
-    if not _exists(spark, root):
+    target, system = _file_system(spark, root)
+    if not system.exists(target):
         return []
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(root)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return sorted(
         status.getPath().toString() for status in system.listStatus(target) if status.isDirectory()
     )

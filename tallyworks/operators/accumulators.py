@@ -20,6 +20,8 @@ from tallyworks.sources.storage import freeze
 MONEY = "decimal(14,2)"
 WIDE_MONEY = "decimal(28,2)"
 FOLD_ROWS = 50_000  # longest history folded inside one row
+ROUNDS_PER_JOB = 5
+BROADCAST_KEYS = 100_000
 
 
 def reset_accumulator(
@@ -97,30 +99,38 @@ def _by_rounds(rows: DataFrame, key: str, order: Sequence[str], limit: str, cap:
         ),
         "restarts",
     )
-    for done in range(cap):
-        open_keys = state.where(F.col("presents") == done)
-        hits = (
-            sums.join(open_keys, key)
-            .where((F.col("_slot") > F.col("_at")) & (F.col("_sum") - F.col("_base") >= goal))
-            .groupBy(key)
-            .agg(F.min(F.struct("_slot", "_sum")).alias("_hit"))
-        )
-        state = freeze(
-            state.join(hits, key, "left").select(
-                key,
-                F.when(F.col("_hit").isNull(), F.col("presents"))
-                .otherwise(F.col("presents") + 1)
-                .alias("presents"),
-                F.coalesce("_hit._slot", "_at").alias("_at"),
-                F.coalesce("_hit._sum", "_base").alias("_base"),
-            ),
-            "restarts",
-        )
-        if state.where(F.col("presents") == done + 1).isEmpty():
+    # one row per long history: sent to the rows when there are few, else Spark joins as it sees fit
+    spread = F.broadcast if state.count() <= BROADCAST_KEYS else lambda df: df
+    for done in range(0, cap, ROUNDS_PER_JOB):
+        rounds = min(ROUNDS_PER_JOB, cap - done)
+        for _ in range(rounds):
+            state = _next_restart(sums, spread(state), key, goal)
+        state = freeze(state, "restarts")
+        if state.where(F.col("presents") == done + rounds).isEmpty():
             break
     return state.select(key, "presents")
 
 
+def _next_restart(sums: DataFrame, state: DataFrame, key: str, goal) -> DataFrame:
+    """Each key's first row after its last restart at which the sum reaches the goal."""
+    reached = (F.col("_slot") > F.col("_at")) & (F.col("_sum") - F.col("_base") >= goal)
+    candidate = F.when(reached, F.col("_slot"))
+    # plain columns, not a struct, keep this a hash aggregate
+    return (
+        sums.join(state, key)
+        .groupBy(key, "presents", "_at", "_base")
+        .agg(F.min(candidate).alias("_hit"), F.min_by("_sum", candidate).alias("_hit_sum"))
+        .select(
+            key,
+            F.when(F.col("_hit").isNull(), F.col("presents"))
+            .otherwise(F.col("presents") + 1)
+            .alias("presents"),
+            F.coalesce("_hit", "_at").alias("_at"),
+            F.coalesce("_hit_sum", "_base").alias("_base"),
+        )
+    )
+
+
 def reset_accumulator_cooldown(
     df: DataFrame,
     key: str,

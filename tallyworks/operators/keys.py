@@ -69,7 +69,7 @@ def flag_log(sessions: DataFrame, pairs: DataFrame, at: dt.datetime) -> DataFram
         sessions.join(acted, "session_id", "left")
         .withColumns(
             {
-                "event_time": F.lit(at).cast("timestamp_ntz"),
+                "event_time": F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"),
                 "flagged": F.coalesce("_hit", F.lit(False)),
             }
         )

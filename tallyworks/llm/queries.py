@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.cap_join import vector_links
 from tallyworks.llm.forest_dedup import near_copies
+from tallyworks.llm.order_minhash import fingerprint_documents
 from tallyworks.llm.packing import pack_documents
 from tallyworks.llm.passage_quality import fit_quality, score_quality
 from tallyworks.llm.scratch import Scratch
+from tallyworks.llm.secret_ownership import scan_secrets
+from tallyworks.llm.source_mixing import mix_sources
 from tallyworks.llm.suffix_dedup import remove_repeats
 from tallyworks.llm.suffix_tree_lm import score_documents
 from tallyworks.llm.token_files import read_token_files, write_token_files
@@ -27,10 +30,46 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(load(spark, folder, "documents"))
 
 
+#: Target weights of the source tree: (domain, language, source, weight); nodes not listed weigh 1.
+MIX_LEVELS = ("domain", "lang", "source")
+MIX_WEIGHTS = (
+    ("web", None, None, 5),
+    ("books", None, None, 3),
+    ("forum", None, None, 2),
+    ("web", "en", None, 4),
+    ("web", "de", None, 2),
+    ("books", "en", None, 6),
+    ("forum", "es", None, 3),
+    ("web", "en", "src3", 2),
+    ("books", "en", "src1", 3),
+)
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """Adds the domain of a source: the sources are dealt out to three by their number."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]{1,6})$", 1)
+    place = F.when(number == "", 2).otherwise(number.try_cast("int") % 3)
+    return docs.withColumn("domain", F.get(F.array(F.lit("web"), F.lit("books"), F.lit("forum")), place))
+
+
+def mix_weights(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(MIX_WEIGHTS), "domain string, lang string, source string, weight int")
+
+
+def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_domain(load(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+    return mix_sources(docs, MIX_LEVELS, mix_weights(spark)).drop("text")
+
+
 def op3_cap_join(spark: SparkSession, folder: str) -> DataFrame:
     return vector_links(load(spark, folder, "embeddings"))
 
 
+def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return fingerprint_documents(load(spark, folder, "documents"), buckets)
+
+
 def op5_suffix_tree_lm(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(load(spark, folder, "documents"), _remainder(7) == 2)
 
@@ -50,6 +89,11 @@ def op8_forest_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(load(spark, folder, "documents"))
 
 
+def op9_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    return scan_secrets(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
 def op10_passage_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = load(spark, folder, "documents"), _remainder(4) == 2
     net = fit_quality(docs, load(spark, folder, "labels"), held_out)
@@ -64,11 +108,13 @@ def op10_passage_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_source_mixing": op2_source_mixing,
     "op3_cap_join": op3_cap_join,
+    "op4_order_minhash": op4_order_minhash,
     "op5_suffix_tree_lm": op5_suffix_tree_lm,
     "op6_harmonic_packing": op6_harmonic_packing,
     "op7_token_files": op7_token_files,
     "op8_forest_dedup": op8_forest_dedup,
+    "op9_secret_ownership": op9_secret_ownership,
     "op10_passage_quality": op10_passage_quality,
 }
-ORACLE: dict[str, str] = {}

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.components import components
+from tallyworks.llm.groups import whole_groups
 from tallyworks.llm.scratch import Scratch
 
 
@@ -147,59 +148,22 @@ def _verified(settings: CapSettings):
     """Task function over rows sorted by group: (id, links, id connected with)."""
     group = ("label", "width", "direction", "low", "high")
 
-    def done(batch: pa.RecordBatch):
-        keys = [batch.column(name).to_numpy() for name in group]
-        change = np.zeros(batch.num_rows - 1, bool)
-        for key in keys:
-            change |= key[1:] != key[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1), batch.num_rows]
-        out: list[list[np.ndarray]] = [[], [], []]
-        for a, b in zip(cuts, cuts[1:]):
-            if b - a > 1:
-                found = _compare(batch.slice(a, b - a), settings, int(keys[2][a]), keys[3][a] != keys[4][a])
-                keep = found[1] > 0
-                for held, values in zip(out, found):
-                    held.append(values[keep])
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in out], ["id", "links", "near"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if held:
-                last = held[-1]
-                same = np.ones(batch.num_rows, bool)
-                for name in group:
-                    same &= batch.column(name).to_numpy() == last.column(name)[-1].as_py()
-                split = int(same.argmin()) if not same.all() else batch.num_rows
-                held.append(batch.slice(0, split))
-                if split < batch.num_rows:
-                    yield from done(_joined(held))
-                    held = []
-                batch = batch.slice(split)
-                if not batch.num_rows:
-                    continue
-            # all groups of the batch but the last are complete
-            change = np.zeros(batch.num_rows, bool)
-            for name in group:
-                values = batch.column(name).to_numpy()
-                change[1:] |= values[1:] != values[:-1]
-            cut = int(np.flatnonzero(change)[-1]) if change.any() else 0
-            if cut:
-                yield from done(batch.slice(0, cut))
-            held = [batch.slice(cut)]
-        if held:
-            yield from done(_joined(held))
+        for batch, cuts in whole_groups(batches, group):
+            direction, low, high = (batch.column(name).to_numpy() for name in group[2:])
+            out: list[list[np.ndarray]] = [[], [], []]
+            for a, b in zip(cuts, cuts[1:]):
+                if b - a > 1:
+                    found = _compare(batch.slice(a, b - a), settings, int(direction[a]), low[a] != high[a])
+                    keep = found[1] > 0
+                    for held, values in zip(out, found):
+                        held.append(values[keep])
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in out], ["id", "links", "near"])
 
     return run
 
 
-def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
-
-
 def vector_links(vectors: DataFrame, settings: CapSettings = CapSettings()) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of ``vectors`` (vec_id, embedding, label).
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.components import components
+from tallyworks.llm.groups import whole_groups
 from tallyworks.llm.scratch import Scratch
 from tallyworks.llm.words import distinct_per_row, mix, parts, shingle_hashes, word_hashes
 
@@ -38,7 +39,9 @@ class ForestSettings:
     trees: int = 24
     first_depth: int = 5
     crowded: int = 8  # classes from which a region is made deeper
-    slack: float = 0.2  # pairs whose estimated similarity is lower than the bound by more are not checked
+    slack: float = 0.13  # pairs whose estimated similarity is lower than the bound by more (five deviations) are not checked
+    ids_sent: int = 2_000_000  # doc_ids of candidates (8 bytes each) up to which they are sent to all tasks
+    block_rows: int = 256  # classes of one region that one task compares at a time
 
 
 def _factors(trees: int) -> np.ndarray:
@@ -76,7 +79,11 @@ def _profiles(settings: ForestSettings, with_sets: bool):
                 if with_sets:
                     offsets = np.concatenate([[0], np.cumsum(sizes)])
                     raw = [values[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
-                    yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(raw, pa.binary())], ["id", "shingles"])
+                    # 16 bits of each hash: an upper bound of what two sets share
+                    small = [np.sort((values[a:b] & np.uint64(0xFFFF)).astype("<u2")).tobytes() for a, b in zip(offsets, offsets[1:])]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("id"), pa.array(raw, pa.binary()), pa.array(small, pa.binary())], ["id", "shingles", "compact"]
+                    )
                     continue
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(values ^ np.uint64(s)))]) for s in (1, 2)]
@@ -233,6 +240,49 @@ def _promising(settings: ForestSettings):
     return run
 
 
+def _most_shared(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two multisets of 16-bit values."""
+    return int(np.minimum(np.bincount(x, minlength=1 << 16), np.bincount(y, minlength=1 << 16)).sum())
+
+
+def _regional(settings: ForestSettings):
+    """Task function over members sorted by region: pairs of different groups that may be linked.
+
+    A pair passes when its signatures agree often enough and the 16-bit sets, which never show
+    fewer shared shingles than there are, allow the link.
+    """
+    least = (settings.percent / 100 - settings.slack) * settings.trees * DEPTH
+
+    def pairs(rows: pa.RecordBatch, cross: bool):
+        signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u2").reshape(rows.num_rows, -1)
+        ids, groups, sides = (rows.column(c).to_numpy() for c in ("id", "group", "side"))
+        sets: dict[int, np.ndarray] = {}
+        for k in range(rows.num_rows - 1):
+            near = (signs[k + 1 :] == signs[k]).sum(1) >= least
+            near &= groups[k + 1 :] != groups[k]
+            if cross:
+                near &= sides[k + 1 :] != sides[k]
+            for j in np.flatnonzero(near) + k + 1:
+                for at in (k, int(j)):
+                    if at not in sets:
+                        sets[at] = np.frombuffer(rows.column("compact")[at].as_py(), "<u2")
+                x, y = sets[k], sets[int(j)]
+                shared = min(len(x), len(y))
+                if 100 * shared >= settings.percent * (len(x) + len(y) - shared):
+                    shared = _most_shared(x, y)
+                    if 100 * shared >= settings.percent * (len(x) + len(y) - shared):
+                        yield min(ids[k], ids[j]), max(ids[k], ids[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, cuts in whole_groups(batches, ("region", "low", "high")):
+            low, high = batch.column("low").to_numpy(), batch.column("high").to_numpy()
+            found = {p for a, b in zip(cuts, cuts[1:]) for p in pairs(batch.slice(a, b - a), low[a] != high[a])}
+            a, b = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
 def _with_both(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
     left = table.select(F.col("id").alias("a"), F.col(value).alias("x"))
     right = table.select(F.col("id").alias("b"), F.col(value).alias("y"))
@@ -255,12 +305,14 @@ def near_copies(docs: DataFrame, settings: ForestSettings = ForestSettings()) ->
         "profiles",
     )
     linked = profiles.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    # the smallest doc_id stands for its class
     classes = scratch.keep(
-        linked.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id")), "classes"
+        linked.groupBy("set_a", "set_b")
+        .agg(F.min(F.struct(F.col("doc_id").alias("id"), "signature")).alias("first"))
+        .select("set_a", "set_b", "first.*"),
+        "classes",
     )
-    # the smallest doc_id stands for its class; repeated rows of it have one signature
-    signs = linked.join(classes, ["set_a", "set_b"]).where("doc_id = id").dropDuplicates(["id"]).select("id", "signature")
-    signs = scratch.keep(signs, "signatures")
+    signs = classes.select("id", "signature")
 
     trees = signs.mapInArrow(_tree_rows(settings), "tree int, high long, low long, id long")
     found = scratch.keep(
@@ -274,9 +326,13 @@ def near_copies(docs: DataFrame, settings: ForestSettings = ForestSettings()) ->
     members = found.where("b IS NULL").select(F.col("a").alias("id"), "region")
 
     involved = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(members.select("id")).distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(involved, "id", "left_semi")
+    involved = scratch.keep(involved, "involved")
+    # few ids go to the texts; beyond the checked number both sides are shuffled
+    few = involved.count() <= settings.ids_sent
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(involved) if few else involved, "id", "left_semi")
+    texts = texts.dropDuplicates(["id"])
     sets = scratch.keep(
-        texts.mapInArrow(_profiles(settings, True), "id long, shingles binary").dropDuplicates(["id"]), "sets"
+        texts.mapInArrow(_profiles(settings, True), "id long, shingles binary, compact binary"), "sets"
     )
     confirm = lambda some: _with_both(some, sets, "shingles").mapInArrow(_confirmed(settings), "a long, b long")
     links = scratch.keep(confirm(pairs), "links")
@@ -287,20 +343,30 @@ def near_copies(docs: DataFrame, settings: ForestSettings = ForestSettings()) ->
         "region", "id", F.coalesce("component_id", "id").alias("group")
     )
     placed = scratch.keep(placed.distinct(), "placed")
-    mixed = placed.groupBy("region").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x < y").select("region")
-    open_rows = placed.join(mixed, "region", "left_semi")
-    other = open_rows.select("region", F.col("id").alias("id2"), F.col("group").alias("group2"))
+    mixed = placed.groupBy("region").agg(F.min("group").alias("x"), F.max("group").alias("y"), F.count("*").alias("n"))
+    blocks = F.ceil(F.col("n") / settings.block_rows).cast("int")
+    mixed = mixed.where("x < y").select("region", blocks.alias("blocks"))
+    # a crowded region is compared in pairs of blocks, each a group of its own
+    open_rows = (
+        placed.join(mixed, "region")
+        .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")})
+        .select("region", "low", "high", "id", "group", "side")
+    )
+    keys = ("region", "low", "high")
     rest = (
-        open_rows.join(other, "region")
-        .where("group < group2")
-        .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
-        .distinct()
+        open_rows.join(signs, "id")
+        .join(sets.select("id", "compact"), "id")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "id")
+        .mapInArrow(_regional(settings), "a long, b long")
     )
-    rest = scratch.keep(_with_both(rest, signs, "signature").mapInArrow(_promising(settings), "a long, b long"), "rest")
+    rest = scratch.keep(rest.distinct(), "rest")
     more = scratch.keep(confirm(rest), "more-links")
     if not more.isEmpty():
         joined = components(links.union(more), scratch)
-    scratch.drop(found, pairs, sets, placed, rest, signs)
+    scratch.drop(found, pairs, sets, placed, rest)
 
     owners = classes.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
         "set_a", "set_b", F.coalesce("component_id", "id").alias("component_id")

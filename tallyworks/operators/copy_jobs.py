@@ -43,14 +43,25 @@ def write_run(df: DataFrame, root: str) -> None:
 
 
 def resumable_copy(source: DataFrame, root: str, key: str) -> DataFrame:
-    """Copy the rows with a key above the highest one already copied; all at first."""
+    """Copy the rows with a key above the highest one already copied; all at first.
+
+    Rows without a key have no place in the order: they are copied with the first run.
+    """
     spark = source.sparkSession
-    last = read_runs(spark, root, source.schema).agg(F.max(key)).first()[0]
-    rest = source if last is None else source.where(F.col(key) > last)
+    copied = read_runs(spark, root, source.schema)
+    rest = _after(source, key, copied)
     write_run(rest, root)
     return read_runs(spark, root, source.schema)
 
 
+def _after(source: DataFrame, key: str, done: DataFrame) -> DataFrame:
+    """Rows of ``source`` above the highest key of ``done``; those without a key until ``done`` has rows."""
+    rows, last = done.agg(F.count(F.lit(1)), F.max(key)).first()
+    if not rows:
+        return source
+    return source.where(F.col(key).isNotNull() if last is None else F.col(key) > last)
+
+
 def purge_before(df: DataFrame, date_col: str, cutoff) -> DataFrame:
     """What is left after deleting rows dated before ``cutoff``; undated rows stay."""
     day = F.col(date_col)
@@ -78,16 +89,15 @@ def reprice_once(
     Each call handles the keys after the last committed run, up to ``upto`` when
     given, and returns the whole table: changed rows of committed runs, the rest
     as in ``source``. The runs are the job's ledger. ``job`` names one price
-    change; a later change needs a new name and starts from the new table.
+    change; a later change needs a new name and starts from the new table. Rows
+    without a key are handled with the first run.
     """
     spark = source.sparkSession
     folder = f"{root}/job={job}"
     kind = source.schema[col].dataType.simpleString()
-    last = read_runs(spark, folder, source.schema).agg(F.max(key)).first()[0]
-    todo = source if last is None else source.where(F.col(key) > last)
+    todo = _after(source, key, read_runs(spark, folder, source.schema))
     if upto is not None:
-        todo = todo.where(F.col(key) <= upto)
+        todo = todo.where((F.col(key) <= upto) | F.col(key).isNull())
     write_run(todo.withColumn(col, (F.col(col) * F.lit(factor)).cast(kind)), folder)
     done = read_runs(spark, folder, source.schema)
-    last = done.agg(F.max(key)).first()[0]
-    return done if last is None else done.unionByName(source.where(F.col(key) > last))
+    return done.unionByName(_after(source, key, done))

@@ -58,7 +58,8 @@ def blocking_pairs(
 
 
 def flag_log(sessions: DataFrame, pairs: DataFrame, at: dt.datetime) -> DataFrame:
-    """The session snapshot as log rows of time ``at``, blockers acted on marked."""
+    """The session snapshot as log rows of time ``at``, blockers acted on marked; no rows without pairs."""
+    any_pair = pairs.agg(F.count(F.lit(1)) > 0).scalar()
     acted = (
         pairs.where("act")
         .select(F.col("blocker_session_id").alias("session_id"))
@@ -66,7 +67,8 @@ def flag_log(sessions: DataFrame, pairs: DataFrame, at: dt.datetime) -> DataFram
         .withColumn("_hit", F.lit(True))
     )
     return (
-        sessions.join(acted, "session_id", "left")
+        sessions.where(any_pair)
+        .join(acted, "session_id", "left")
         .withColumns(
             {
                 "event_time": F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"),

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -46,7 +46,8 @@ def load_with_quarantine(
 
     Rules are conditions that are true for bad rows. Refs are (column, table,
     table column) of values that must exist. A key that occurs twice, or is
-    already loaded, is an error too. One bad line rejects its order.
+    already loaded, is an error too, and so is a missing key. One bad line rejects
+    its order. An order without lines is in none of the results, as there is nothing to load.
     """
 
     def broken(df: DataFrame, rules: Mapping[str, Column]) -> list[DataFrame]:
@@ -73,6 +74,7 @@ def load_with_quarantine(
     errors = [
         named(repeated, "duplicate order"),
         named(loaded, "already loaded"),
+        named(headers.where(F.col(key).isNull()), "no order key"),
         *broken(headers, header_rules),
         *broken(details.join(headers.select(key), key, "left_semi"), detail_rules),
         *dangling(headers, header_refs),
@@ -100,10 +102,14 @@ def retype_table(
 ) -> tuple[DataFrame, DataFrame]:
     """The table in new column types, and how many values stand in the way.
 
-    Reading the first result fails on a value its type cannot hold, as a change
+    Reading the first result fails on a value its type cannot hold, or on a null in
+    a ``not_null`` column, as a change
     of the stored table would; the second one counts such values beforehand.
     """
     casts = {c: F.col(c).cast(types[c]) if c in types else F.col(c) for c in df.columns}
+    for c in not_null:
+        stop = F.raise_error(F.lit(f"{c} is null")).cast(types.get(c) or df.schema[c].dataType)
+        casts[c] = F.when(F.col(c).isNull(), stop).otherwise(casts[c])
     retyped = df.select(*[value.alias(c) for c, value in casts.items()])
     checks = [
         F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"{c}: does not fit")
@@ -118,7 +124,7 @@ def check_keys(
     df: DataFrame, pk: Sequence[str], fks: Mapping[str, tuple[DataFrame, str]]
 ) -> DataFrame:
     """Repeated primary keys and unmatched foreign keys as (check, key, n) rows."""
-    shown = F.concat_ws(",", *[F.col(c).cast("string") for c in pk])
+    shown = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in pk])
     rows = [
         df.groupBy(*pk)
         .agg(F.count(F.lit(1)).alias("n"))
@@ -153,10 +159,15 @@ def upsert(
     """``target`` after a merge: unmatched source rows added, matched rows changed.
 
     Expressions name columns as ``t.x`` and ``s.x``. A matched row changes only
-    where ``guard`` holds. ``source`` has one row per key.
+    where ``guard`` holds. A key that ``source`` repeats stops the merge with an error; source
+    rows without a key match nothing and are added.
     """
     t = target.withColumn("_in_t", F.lit(True)).alias("t")
-    s = source.withColumn("_in_s", F.lit(True)).alias("s")
+    # the window needs the keys where the join needs them too
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    twice = F.raise_error(F.concat(F.lit("repeated source key "), F.col(key).cast("string"))).cast("boolean")
+    once = F.when(F.col(key).isNotNull() & (n > 1), twice).otherwise(F.lit(True))
+    s = source.withColumn("_in_s", once).alias("s")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
     new = F.col("t._in_t").isNull()
     changed = F.col("s._in_s").isNotNull() & guard

@@ -57,16 +57,25 @@ def case_sort(df: DataFrame, amount: str, threshold, then: str) -> DataFrame:
     return df.orderBy(high, then)
 
 
-def nested_case(df: DataFrame, department: str, position: str) -> DataFrame:
-    """A searched case over a simple one, and the same written as nested conditions.
+def nested_case(
+    df: DataFrame, steps: Sequence[tuple[Column, str | tuple[str, Mapping]]], default: str, name: str
+) -> DataFrame:
+    """Add ``name``: what the first step whose condition holds says, else ``default``.
 
-    The inner case has no default: department 3 with another position gives null.
+    A step gives a label, or a column with a mapping of its values to labels; a value that the
+    mapping leaves out gives null and not ``default``.
     """
-    dep, pos = F.col(department), F.col(position)
-    inner = F.when(pos == 3, "B-1").when(pos == 4, "B-2")
-    chained = F.when(dep.isin(1, 2), "A").when(dep == 3, inner).otherwise("C")
-    nested = F.when(dep.isin(1, 2), "A").otherwise(F.when(dep == 3, inner).otherwise("C"))
-    return df.withColumns({"demo_1": chained, "demo_2": nested})
+    chain = None
+    for condition, said in steps:
+        if isinstance(said, str):
+            value = F.lit(said)
+        else:
+            column, labels = said
+            value = F.lit(None).cast("string")
+            for key, label in labels.items():
+                value = F.when(F.col(column) == key, label).otherwise(value)
+        chain = F.when(condition, value) if chain is None else chain.when(condition, value)
+    return df.withColumn(name, F.lit(default) if chain is None else chain.otherwise(default))
 
 
 def like_literal(df: DataFrame, col: str, text: str) -> DataFrame:

@@ -133,7 +133,7 @@ def annuity_payment(
 
 
 def card_min_payment(
-    contracts: DataFrame, usage: DataFrame, premium: str = "CC_A_Club"
+    contracts: DataFrame, usage: DataFrame, premium: str
 ) -> DataFrame:
     """A tenth (premium cards) or a twentieth of the limit, or of the debt without a limit."""
     limit = F.coalesce("credit_limit", F.lit(0))

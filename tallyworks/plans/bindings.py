@@ -23,6 +23,7 @@ RATE_DATES = (dt.date(2001, 7, 30), dt.date(2001, 7, 31))
 EARLY_REPORT = dt.date(2001, 6, 15)
 MONTH_COLS = tuple(f"paid_{k}m" for k in range(1, 7))
 WIDE_MONTHS = tuple(range(2, 37))
+PREMIUM_CARD = "GOLD"
 
 ORDER_TAX_ID = "lpad(CAST(o_custkey AS STRING), 10, '0')"
 DEAL_NO = "concat('D', o_orderkey, '-', o_orderstatus)"
@@ -124,7 +125,7 @@ class Roles:
             f"{ORDER_TAX_ID} AS tax_id",
             "if(o_orderkey % 50 = 0, '', concat(o_orderkey, '  ')) AS contract_no",
             f"if(o_orderkey % 3 = 0, NULL, {_share('o_totalprice', '0.05')}) AS credit_limit",
-            "if(o_orderkey % 5 = 0, 'CC_A_Club', 'CC') AS subgroup",
+            f"if(o_orderkey % 5 = 0, '{PREMIUM_CARD}', 'CC') AS subgroup",
         )
 
     @property

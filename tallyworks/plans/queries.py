@@ -32,6 +32,7 @@ from tallyworks.plans.bindings import (
     MAX_DATE,
     MIN_DATE,
     MONTH_COLS,
+    PREMIUM_CARD,
     WIDE_MONTHS,
     Roles,
 )
@@ -86,6 +87,7 @@ def risk_sources(r: Roles) -> RiskSources:
         latest_rates=r.latest_rates,
         salary_wide=r.salary_wide,
         month_cols=MONTH_COLS,
+        premium_card=PREMIUM_CARD,
         clients=r.clients,
         schedule=r.schedule,
         deal_currency=r.deal_currency,
@@ -234,7 +236,7 @@ def annuity_payment(r: Roles) -> DataFrame:
 
 @query
 def card_min_payment(r: Roles) -> DataFrame:
-    return payments.card_min_payment(r.cards, r.card_usage)
+    return payments.card_min_payment(r.cards, r.card_usage, PREMIUM_CARD)
 
 
 @query
@@ -273,7 +275,7 @@ def _plain_classes(r: Roles) -> DataFrame:
         F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("tax_id"),
         F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("avg_salary"),
     )
-    paid = payments.payments_by_client([payments.card_min_payment(r.cards, r.card_usage)])
+    paid = payments.payments_by_client([payments.card_min_payment(r.cards, r.card_usage, PREMIUM_CARD)])
     return classes.risk_class(
         classes.client_profile(exposure.client_exposure(debts, worst), customers, paid)
     )
@@ -437,7 +439,11 @@ def case_sort(r: Roles) -> DataFrame:
 
 @query
 def nested_case(r: Roles) -> DataFrame:
-    return lookups.nested_case(_employees(r), "department_id", "position_id")
+    steps = [
+        (F.col("department_id").isin(1, 2), "desk"),
+        (F.col("department_id") == 3, ("position_id", {3: "field-1", 4: "field-2"})),
+    ]
+    return lookups.nested_case(_employees(r), steps, "other", "grade")
 
 
 @query

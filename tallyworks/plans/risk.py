@@ -31,6 +31,7 @@ class RiskSources:
     latest_rates: DataFrame
     salary_wide: DataFrame
     month_cols: Sequence[str]
+    premium_card: str
     clients: DataFrame
     schedule: DataFrame
     deal_currency: DataFrame
@@ -96,7 +97,7 @@ class RiskReport:
                 src.vintage, src.deals, scheduled, src.balances, self.snapshot_date()
             )
         )
-        cards = payments.card_min_payment(src.cards, src.card_usage)
+        cards = payments.card_min_payment(src.cards, src.card_usage, src.premium_card)
         return payments.payments_by_client([scheduled, estimated, cards])
 
     def profile(self) -> DataFrame:

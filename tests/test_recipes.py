@@ -110,9 +110,9 @@ def test_max_over_fitting_tables(rows):
 
 def test_case_results(rows):
     df = rows("d int, p int", (1, 0), (3, 3), (3, 4), (3, 5), (4, 3), (None, 1))
-    got = lookups.nested_case(df, "d", "p").collect()
-    assert [r["demo_1"] for r in got] == ["A", "B-1", "B-2", None, "C", "C"]
-    assert all(r["demo_1"] == r["demo_2"] for r in got)
+    steps = [(F.col("d").isin(1, 2), "A"), (F.col("d") == 3, ("p", {3: "B-1", 4: "B-2"}))]
+    got = lookups.nested_case(df, steps, "C", "grade").collect()
+    assert [r["grade"] for r in got] == ["A", "B-1", "B-2", None, "C", "C"]
     salaries = rows("n string, s int", ("b", 2500), ("a", 2499), ("c", None), ("a", 9000))
     assert [r["n"] for r in lookups.case_sort(salaries, "s", 2500, "n").collect()] == ["a", "c", "a", "b"]
 

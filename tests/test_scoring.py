@@ -230,11 +230,11 @@ def test_card_minimum(rows):
     cards = rows(
         "contract_id long, tax_id string, contract_no string, credit_limit decimal(18,4), "
         "subgroup string",
-        (1, "1", "x", D(100), "CC"), (2, "1", "x", D(100), "CC_A_Club"), (3, "1", "x", None, "CC"),
-        (4, "1", "x", D(0), "CC_A_Club"), (5, "1", "x", None, "CC"), (6, None, "x", D(1), "CC"),
+        (1, "1", "x", D(100), "CC"), (2, "1", "x", D(100), "GOLD"), (3, "1", "x", None, "CC"),
+        (4, "1", "x", D(0), "GOLD"), (5, "1", "x", None, "CC"), (6, None, "x", D(1), "CC"),
     )
     usage = rows("contract_id long, outstanding decimal(18,4)", (3, D(40)), (4, D(40)), (1, D(9)))
-    df = payments.card_min_payment(cards, usage).select("deal_id", "payment")
+    df = payments.card_min_payment(cards, usage, "GOLD").select("deal_id", "payment")
     assert as_set(df) == [(1, D(5)), (2, D(10)), (3, D(2)), (4, D(4))]
 
 

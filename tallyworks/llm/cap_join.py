@@ -114,13 +114,18 @@ def _forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     return root
 
 
-def _first_shared(x: np.ndarray, y: np.ndarray, sets: np.ndarray) -> np.ndarray:
-    out = np.empty(len(x), np.int64)
-    for at in range(0, len(x), 20_000):
-        a, b = sets[x[at : at + 20_000]], sets[y[at : at + 20_000]]
-        shared = (a[:, :, None] == b[:, None, :]).any(2) & (a >= 0)
-        out[at : at + len(a)] = a[np.arange(len(a)), shared.argmax(1)]
-    return out
+def _met_before(lists: list[np.ndarray], direction: int, columns: int = 2048) -> np.ndarray:
+    """Which pairs of members share a direction smaller than ``direction``."""
+    cut = [own[: np.searchsorted(own, direction)] for own in lists]
+    owner = np.repeat(np.arange(len(cut)), [len(own) for own in cut])
+    names, place = np.unique(np.concatenate(cut), return_inverse=True)
+    met = np.zeros((len(cut), len(cut)), bool)
+    for at in range(0, len(names), columns):
+        here = (place >= at) & (place < at + columns)
+        holds = np.zeros((len(cut), min(columns, len(names) - at)), np.float32)
+        holds[owner[here], place[here] - at] = 1
+        met |= holds @ holds.T > 0
+    return met
 
 
 def _compare(rows: pa.RecordBatch, settings: CapSettings, direction: int, cross: bool):
@@ -128,17 +133,17 @@ def _compare(rows: pa.RecordBatch, settings: CapSettings, direction: int, cross:
     unit = np.frombuffer(b"".join(rows.column("unit").to_pylist()), "<f8").reshape(rows.num_rows, -1)
     ids, copies = rows.column("id").to_numpy(), rows.column("copies").to_numpy()
     lists = [np.frombuffer(v, "<i8") for v in rows.column("directions").to_pylist()]
-    sets = np.full((len(lists), max(map(len, lists))), -1, np.int64)
-    for k, own in enumerate(lists):
-        sets[k, : len(own)] = own
     side = rows.column("side").to_numpy()
     near = unit @ unit.T >= settings.cosine
     x, y = np.nonzero(np.triu(near, 1))
     if cross:
         differ = side[x] != side[y]
         x, y = x[differ], y[differ]
-    first = _first_shared(x, y, sets) == direction
-    x, y = x[first], y[first]
+    if len(x):
+        members, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+        met = _met_before([lists[k] for k in members], direction)
+        first = ~met[place[: len(x)], place[len(x) :]]
+        x, y = x[first], y[first]
     links = np.bincount(x, copies[y], len(ids)) + np.bincount(y, copies[x], len(ids))
     root = _forest(x, y, len(ids))
     return ids, links.astype(np.int64), ids[root]

@@ -41,7 +41,8 @@ class ForestSettings:
     crowded: int = 8  # classes from which a region is made deeper
     slack: float = 0.13  # pairs whose estimated similarity is lower than the bound by more (five deviations) are not checked
     ids_sent: int = 2_000_000  # doc_ids of candidates (8 bytes each) up to which they are sent to all tasks
-    block_rows: int = 256  # classes of one region that one task compares at a time
+    block_rows: int = 256  # classes of one region, and bytes of their sets, in one block;
+    block_bytes: int = 16 << 20  # a task compares two blocks at a time
 
 
 def _factors(trees: int) -> np.ndarray:
@@ -79,10 +80,8 @@ def _profiles(settings: ForestSettings, with_sets: bool):
                 if with_sets:
                     offsets = np.concatenate([[0], np.cumsum(sizes)])
                     raw = [values[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
-                    # 16 bits of each hash: an upper bound of what two sets share
-                    small = [np.sort((values[a:b] & np.uint64(0xFFFF)).astype("<u2")).tobytes() for a, b in zip(offsets, offsets[1:])]
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("id"), pa.array(raw, pa.binary()), pa.array(small, pa.binary())], ["id", "shingles", "compact"]
+                        [batch.column("id"), pa.array(raw, pa.binary()), pa.array(8 * sizes)], ["id", "shingles", "bytes"]
                     )
                     continue
                 ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -240,45 +239,59 @@ def _promising(settings: ForestSettings):
     return run
 
 
-def _most_shared(x: np.ndarray, y: np.ndarray) -> int:
-    """Size of the intersection of two multisets of 16-bit values."""
-    return int(np.minimum(np.bincount(x, minlength=1 << 16), np.bincount(y, minlength=1 << 16)).sum())
+def _shared(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, by products of membership tables."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    names, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # values of one set only are shared with none
+    column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[place]
+    owner, column = owner[column >= 0], column[column >= 0]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for at in range(0, int((times > 1).sum()), columns):
+        begin, end = np.searchsorted(column, [at, at + columns])
+        holds = np.zeros((len(sets), columns), np.float32)
+        holds[owner[begin:end], column[begin:end] - at] = 1
+        out += holds @ holds.T
+    return out.astype(np.int64)
+
+
+def _roots(near: np.ndarray) -> np.ndarray:
+    """Smallest place connected with each place of a symmetric table of links."""
+    x, y = np.nonzero(near)
+    root = np.arange(len(near))
+    while True:
+        new = root.copy()
+        np.minimum.at(new, x, root[y])
+        new = new[new]
+        if np.array_equal(new, root):
+            return root
+        root = new
 
 
 def _regional(settings: ForestSettings):
-    """Task function over members sorted by region: pairs of different groups that may be linked.
+    """Task function over members sorted by region: links of each group of members.
 
-    A pair passes when its signatures agree often enough and the 16-bit sets, which never show
-    fewer shared shingles than there are, allow the link.
+    All pairs of a group are compared on their full sets; what goes out is one row for each
+    member that is connected with an earlier one, never the pairs.
     """
-    least = (settings.percent / 100 - settings.slack) * settings.trees * DEPTH
 
-    def pairs(rows: pa.RecordBatch, cross: bool):
-        signs = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u2").reshape(rows.num_rows, -1)
-        ids, groups, sides = (rows.column(c).to_numpy() for c in ("id", "group", "side"))
-        sets: dict[int, np.ndarray] = {}
-        for k in range(rows.num_rows - 1):
-            near = (signs[k + 1 :] == signs[k]).sum(1) >= least
-            near &= groups[k + 1 :] != groups[k]
-            if cross:
-                near &= sides[k + 1 :] != sides[k]
-            for j in np.flatnonzero(near) + k + 1:
-                for at in (k, int(j)):
-                    if at not in sets:
-                        sets[at] = np.frombuffer(rows.column("compact")[at].as_py(), "<u2")
-                x, y = sets[k], sets[int(j)]
-                shared = min(len(x), len(y))
-                if 100 * shared >= settings.percent * (len(x) + len(y) - shared):
-                    shared = _most_shared(x, y)
-                    if 100 * shared >= settings.percent * (len(x) + len(y) - shared):
-                        yield min(ids[k], ids[j]), max(ids[k], ids[j])
+    def links(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        ids = rows.column("id").to_numpy()
+        sets = [np.frombuffer(v.as_py(), np.uint64) for v in rows.column("shingles")]
+        sizes = np.array([len(s) for s in sets])
+        shared = _shared(sets)
+        near = 100 * shared >= settings.percent * (sizes[:, None] + sizes - shared)
+        first = ids[_roots(near)]
+        moved = first != ids
+        return first[moved], ids[moved]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, cuts in whole_groups(batches, ("region", "low", "high")):
-            low, high = batch.column("low").to_numpy(), batch.column("high").to_numpy()
-            found = {p for a, b in zip(cuts, cuts[1:]) for p in pairs(batch.slice(a, b - a), low[a] != high[a])}
-            a, b = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            for begin, end in zip(cuts, cuts[1:]):
+                if end - begin > 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in links(batch.slice(begin, end - begin))], ["a", "b"])
 
     return run
 
@@ -332,19 +345,20 @@ def near_copies(docs: DataFrame, settings: ForestSettings = ForestSettings()) ->
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(involved) if few else involved, "id", "left_semi")
     texts = texts.dropDuplicates(["id"])
     sets = scratch.keep(
-        texts.mapInArrow(_profiles(settings, True), "id long, shingles binary, compact binary"), "sets"
+        texts.mapInArrow(_profiles(settings, True), "id long, shingles binary, bytes long"), "sets"
     )
-    confirm = lambda some: _with_both(some, sets, "shingles").mapInArrow(_confirmed(settings), "a long, b long")
-    links = scratch.keep(confirm(pairs), "links")
+    links = scratch.keep(_with_both(pairs, sets, "shingles").mapInArrow(_confirmed(settings), "a long, b long"), "links")
     joined = components(links, scratch)
 
     # classes of one region that the neighbours have not connected
     placed = members.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
         "region", "id", F.coalesce("component_id", "id").alias("group")
     )
-    placed = scratch.keep(placed.distinct(), "placed")
-    mixed = placed.groupBy("region").agg(F.min("group").alias("x"), F.max("group").alias("y"), F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / settings.block_rows).cast("int")
+    placed = scratch.keep(placed.distinct().join(sets.select("id", "bytes"), "id"), "placed")
+    mixed = placed.groupBy("region").agg(
+        F.min("group").alias("x"), F.max("group").alias("y"), F.count("*").alias("n"), F.sum("bytes").alias("bytes")
+    )
+    blocks = F.ceil(F.greatest(F.col("n") / settings.block_rows, F.col("bytes") / settings.block_bytes)).cast("int")
     mixed = mixed.where("x < y").select("region", blocks.alias("blocks"))
     # a crowded region is compared in pairs of blocks, each a group of its own
     open_rows = (
@@ -352,21 +366,19 @@ def near_copies(docs: DataFrame, settings: ForestSettings = ForestSettings()) ->
         .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")})
-        .select("region", "low", "high", "id", "group", "side")
+        .select("region", "low", "high", "id")
     )
     keys = ("region", "low", "high")
     rest = (
-        open_rows.join(signs, "id")
-        .join(sets.select("id", "compact"), "id")
+        open_rows.join(sets.select("id", "shingles"), "id")
         .repartition(*keys)
         .sortWithinPartitions(*keys, "id")
         .mapInArrow(_regional(settings), "a long, b long")
     )
-    rest = scratch.keep(rest.distinct(), "rest")
-    more = scratch.keep(confirm(rest), "more-links")
+    more = scratch.keep(rest.distinct(), "more-links")
     if not more.isEmpty():
         joined = components(links.union(more), scratch)
-    scratch.drop(found, pairs, sets, placed, rest)
+    scratch.drop(found, pairs, sets, placed)
 
     owners = classes.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
         "set_a", "set_b", F.coalesce("component_id", "id").alias("component_id")

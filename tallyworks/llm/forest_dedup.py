@@ -42,7 +42,7 @@ class ForestSettings:
     slack: float = 0.13  # pairs whose estimated similarity is lower than the bound by more (five deviations) are not checked
     ids_sent: int = 2_000_000  # doc_ids of candidates (8 bytes each) up to which they are sent to all tasks
     block_rows: int = 256  # classes of one region, and bytes of their sets, in one block;
-    block_bytes: int = 16 << 20  # a task compares two blocks at a time
+    block_bytes: int = 4 << 20  # a task compares two blocks at a time
 
 
 def _factors(trees: int) -> np.ndarray:
@@ -241,15 +241,16 @@ def _promising(settings: ForestSettings):
 
 def _shared(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
     """Sizes of the intersections of all pairs of sets, by products of membership tables."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    names, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    values = np.concatenate(sets)
+    order = np.argsort(values)
+    values = values[order]
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])[order]
+    first = np.concatenate([[True], values[1:] != values[:-1]])
     # values of one set only are shared with none
-    column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[place]
-    owner, column = owner[column >= 0], column[column >= 0]
+    several = ~(first & np.concatenate([first[1:], [True]]))
+    owner, column = owner[several], (np.cumsum(first[several]) - 1).astype(np.int32)
     out = np.zeros((len(sets), len(sets)), np.float32)
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    for at in range(0, int((times > 1).sum()), columns):
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
         begin, end = np.searchsorted(column, [at, at + columns])
         holds = np.zeros((len(sets), columns), np.float32)
         holds[owner[begin:end], column[begin:end] - at] = 1

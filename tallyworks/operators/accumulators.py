@@ -1,27 +1,25 @@
 """Running sums that start over when they reach a limit.
 
 Where the next restart lies depends on the one before, so a key's rows are
-folded in order. Keys with few rows are folded inside one row. A key with more
-rows than that is never gathered: its running sums are computed over range
-partitions, and each of its (at most ``cap``) restarts is found by one aggregate.
+taken in order. The rows are laid out over range partitions by key and order.
+A key that lies inside one partition is folded there. A key that crosses a
+boundary is never gathered: its running sums are computed over the partitions,
+and each of its (at most ``cap``) restarts is found by one aggregate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.operators.numbering import lay_out, running_offset, slot_partition
-from tallyworks.operators.skew import crowded_keys
 from tallyworks.sources.storage import freeze
 
 MONEY = "decimal(14,2)"
 WIDE_MONEY = "decimal(28,2)"
-FOLD_ROWS = 50_000  # longest history folded inside one row
 ROUNDS_PER_JOB = 5
-BROADCAST_KEYS = 100_000
 
 
 def reset_accumulator(
@@ -32,30 +30,40 @@ def reset_accumulator(
     limit: str,
     cap: int = 10,
     keep_zero: bool = False,
-    fold_rows: int = FOLD_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """How often a key's sum reaches ``limit``, starting over at zero each time.
 
     What goes beyond the limit is lost. At most ``cap`` are counted. Keys that
-    never reach the limit are returned only with ``keep_zero``.
+    never reach the limit are returned only with ``keep_zero``. A null amount adds
+    nothing, rows with equal ``order`` follow each other by amount, and a null key
+    is a key like others. ``parts`` sets the number of range partitions (Spark's
+    choice without it); the result does not depend on it.
     """
-    rows = df.select(key, *order, F.col(amount).cast(MONEY).alias("_amount"))
-    long_keys = crowded_keys(rows, key, fold_rows)
-    if long_keys is None:
-        counted = _fold(rows, key, order, limit, cap)
-    else:
-        counted = _fold(rows.join(long_keys, key, "left_anti"), key, order, limit, cap).unionByName(
-            _by_rounds(rows.join(long_keys, key, "left_semi"), key, order, limit, cap)
+    entry = F.coalesce(F.col(amount).cast(MONEY), F.lit(0).cast(MONEY))
+    rows = df.select(F.col(key).alias("_key"), *order, entry.alias("_amount"))
+    stored = lay_out(rows, ["_key", *order, "_amount"], parts=parts).withColumn("_part", slot_partition())
+    # two rows a partition: a key that crosses a boundary ends one and begins the next
+    ends = stored.groupBy("_part").agg(F.min(F.struct("_key")).alias("_a"), F.max(F.struct("_key")).alias("_b"))
+    ends = ends.select("_part", F.explode(F.array("_a", "_b")).alias("_end")).select("_part", "_end._key").distinct()
+    crossing = freeze(ends.groupBy("_key").count().where("count > 1").select(F.col("_key").alias("_long")), "crossing")
+    # no more keys than partitions: small whatever the data
+    is_long = F.col("_key").eqNullSafe(F.col("_long"))
+    counted = _fold(stored.join(F.broadcast(crossing), is_long, "left_anti"), order, limit, cap)
+    if not crossing.isEmpty():
+        counted = counted.unionByName(
+            _by_rounds(stored.join(F.broadcast(crossing), is_long, "left_semi"), limit, cap)
         )
-    return counted if keep_zero else counted.where(F.col("presents") > 0)
+    counted = counted if keep_zero else counted.where(F.col("presents") > 0)
+    return counted.select(F.col("_key").alias(key), "presents")
 
 
-def _fold(rows: DataFrame, key: str, order: Sequence[str], limit: str, cap: int) -> DataFrame:
-    goal = F.lit(limit).cast(MONEY)
-    zero = F.lit("0").cast(MONEY)
+def _fold(rows: DataFrame, order: Sequence[str], limit: str, cap: int) -> DataFrame:
+    goal = F.lit(limit).cast(WIDE_MONEY)
+    zero = F.lit("0").cast(WIDE_MONEY)
 
     def step(state, entry):
-        total = (state["sum"] + entry["_amount"]).cast(MONEY)
+        total = (state["sum"] + entry["_amount"]).cast(WIDE_MONEY)
         reached = total >= goal
         return F.when(state["n"] >= cap, state).otherwise(
             F.struct(
@@ -67,61 +75,65 @@ def _fold(rows: DataFrame, key: str, order: Sequence[str], limit: str, cap: int)
     history = F.sort_array(F.collect_list(F.struct(*order, "_amount")))
     start = F.struct(zero.alias("sum"), F.lit(0).alias("n"))
     return (
-        rows.groupBy(key)
+        rows.groupBy("_key")
         .agg(history.alias("_history"))
-        .select(key, F.aggregate("_history", start, step)["n"].alias("presents"))
+        .select("_key", F.aggregate("_history", start, step)["n"].alias("presents"))
     )
 
 
-def _by_rounds(rows: DataFrame, key: str, order: Sequence[str], limit: str, cap: int) -> DataFrame:
-    """The same count for long histories, one aggregate per restart."""
+def _by_rounds(stored: DataFrame, limit: str, cap: int) -> DataFrame:
+    """The same count for keys over several partitions, one aggregate per restart."""
     goal = F.lit(limit).cast(WIDE_MONEY)
     # the slot ascends with (key, order), so it also serves as the row's position
-    stored = lay_out(rows, [key, *order]).withColumn("_part", slot_partition())
-    here = Window.partitionBy("_part", key).orderBy("_slot")
+    here = Window.partitionBy("_part", "_key").orderBy("_slot")
     local = stored.withColumn(
         "_local",
         F.sum("_amount").over(here.rowsBetween(Window.unboundedPreceding, 0)).cast(WIDE_MONEY),
     )
-    parts = stored.groupBy(key, "_part").agg(F.sum("_amount").cast(WIDE_MONEY).alias("_total"))
-    before = running_offset(parts, "_part", "_total", "_before", within=[key]).drop("_total")
+    parts = stored.groupBy("_key", "_part").agg(F.sum("_amount").cast(WIDE_MONEY).alias("_total"))
+    before = running_offset(parts, "_part", "_total", "_before", within=["_key"]).select(
+        F.col("_key").alias("_k"), F.col("_part").alias("_p"), "_before"
+    )
+    # at most one row per partition and crossing key: two for each partition
     sums = freeze(
-        local.join(before, [key, "_part"]).select(
-            key, "_slot", (F.col("_local") + F.col("_before")).cast(WIDE_MONEY).alias("_sum")
+        local.join(F.broadcast(before), _same_key() & (F.col("_part") == F.col("_p"))).select(
+            "_key", "_slot", (F.col("_local") + F.col("_before")).cast(WIDE_MONEY).alias("_sum")
         ),
         "running_sums",
     )
     state = freeze(
-        sums.groupBy(key).agg(
+        sums.groupBy("_key").agg(
             F.lit(0).alias("presents"),
             F.lit(-1).cast("long").alias("_at"),
             F.lit("0").cast(WIDE_MONEY).alias("_base"),
         ),
         "restarts",
     )
-    # one row per long history: sent to the rows when there are few, else Spark joins as it sees fit
-    spread = F.broadcast if state.count() <= BROADCAST_KEYS else lambda df: df
     for done in range(0, cap, ROUNDS_PER_JOB):
         rounds = min(ROUNDS_PER_JOB, cap - done)
         for _ in range(rounds):
-            state = _next_restart(sums, spread(state), key, goal)
+            state = _next_restart(sums, state, goal)
         state = freeze(state, "restarts")
         if state.where(F.col("presents") == done + rounds).isEmpty():
             break
-    return state.select(key, "presents")
+    return state.select("_key", "presents")
+
+
+def _same_key() -> Column:
+    return F.col("_key").eqNullSafe(F.col("_k"))
 
 
-def _next_restart(sums: DataFrame, state: DataFrame, key: str, goal) -> DataFrame:
+def _next_restart(sums: DataFrame, state: DataFrame, goal: Column) -> DataFrame:
     """Each key's first row after its last restart at which the sum reaches the goal."""
     reached = (F.col("_slot") > F.col("_at")) & (F.col("_sum") - F.col("_base") >= goal)
     candidate = F.when(reached, F.col("_slot"))
     # plain columns, not a struct, keep this a hash aggregate
     return (
-        sums.join(state, key)
-        .groupBy(key, "presents", "_at", "_base")
+        sums.join(F.broadcast(state.withColumnRenamed("_key", "_k")), _same_key())
+        .groupBy("_key", "presents", "_at", "_base")
         .agg(F.min(candidate).alias("_hit"), F.min_by("_sum", candidate).alias("_hit_sum"))
         .select(
-            key,
+            "_key",
             F.when(F.col("_hit").isNull(), F.col("presents"))
             .otherwise(F.col("presents") + 1)
             .alias("presents"),

@@ -25,7 +25,9 @@ def _columns(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(name) if isinstance(name, str) else name for name in names]
 
 
-def lay_out(df: DataFrame, order_by: Sequence[str | Column], slot: str = "_slot") -> DataFrame:
+def lay_out(
+    df: DataFrame, order_by: Sequence[str | Column], slot: str = "_slot", parts: int | None = None
+) -> DataFrame:
     """Store ``df`` sorted over range partitions, with an ascending ``slot`` per row.
 
     A hash of the row ends the ordering: rows with equal ordering columns are
@@ -34,7 +36,7 @@ def lay_out(df: DataFrame, order_by: Sequence[str | Column], slot: str = "_slot"
     hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
     order = [*_columns(order_by), F.xxhash64(*hashed)]
     return freeze(
-        df.repartitionByRange(*order)
+        df.repartitionByRange(*([parts] if parts else []), *order)
         .sortWithinPartitions(*order)
         .withColumn(slot, F.monotonically_increasing_id()),
         "layout",

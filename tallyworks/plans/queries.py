@@ -690,6 +690,15 @@ def reset_accumulator(r: Roles) -> DataFrame:
     )
 
 
+@query
+def reset_accumulator_long(r: Roles) -> DataFrame:
+    """Few keys with long histories, laid out so that each crosses range partitions."""
+    return accumulators.reset_accumulator(
+        r.table("orders"), "o_orderpriority", ["o_orderdate", "o_orderkey"], "o_totalprice",
+        "5000000", keep_zero=True, parts=16,
+    )
+
+
 @query
 def reset_accumulator_keep_zero(r: Roles) -> DataFrame:
     return accumulators.reset_accumulator(

@@ -120,23 +120,24 @@ def presents(amounts, limit, cap):
     return count
 
 
-@pytest.mark.parametrize("fold_rows", [50_000, 20, 0])
-def test_accumulator_is_the_same_for_short_and_long_histories(rows, fold_rows):
+@pytest.mark.parametrize("parts", [None, 1, 3, 40])
+def test_accumulator_does_not_depend_on_the_layout(rows, parts):
     chance = random.Random(3)
-    history = {
-        key: [(day, n, chance.randrange(-5, 60)) for n, day in enumerate(sorted(chance.choices(range(90), k=size)))]
-        for key, size in ((1, 400), (2, 5), (3, 60), (4, 1), (5, 25))
-    }
-    values = [(k, d, n, D(a)) for k, rows_ in history.items() for d, n, a in rows_]
-    chance.shuffle(values)
-    df = rows("k int, d int, n int, a decimal(14,2)", *values)
-    expected = [(k, presents([a for _, _, a in h], 100, 10)) for k, h in history.items()]
-    got = accumulators.reset_accumulator(
-        df, "k", ["d", "n"], "a", "100", cap=10, keep_zero=True, fold_rows=fold_rows
-    )
-    assert as_set(got) == expected
-    some = accumulators.reset_accumulator(df, "k", ["d", "n"], "a", "100", fold_rows=fold_rows)
-    assert as_set(some) == [row for row in expected if row[1] > 0]
+    values = []
+    # nulls among the amounts, equal places, a null key, keys over several partitions
+    for key, size in ((1, 400), (2, 5), (None, 90), (3, 60), (4, 1), (5, 25)):
+        for day in chance.choices(range(90), k=size):
+            amount = None if chance.random() < 0.1 else D(chance.randrange(-5, 60))
+            values.append((key, day, amount, "x"))
+    df = rows("k int, d int, a decimal(14,2), _part string", *values)
+    history = {}
+    for key, day, amount, _ in values:
+        history.setdefault(key, []).append((day, amount or 0))
+    expected = {(k, presents([a for _, a in sorted(h)], 100, 10)) for k, h in history.items()}
+    got = accumulators.reset_accumulator(df, "k", ["d"], "a", "100", keep_zero=True, parts=parts)
+    assert {tuple(r) for r in got.collect()} == expected and got.count() == len(expected)
+    some = accumulators.reset_accumulator(df, "k", ["d"], "a", "100", parts=parts)
+    assert {tuple(r) for r in some.collect()} == {row for row in expected if row[1] > 0}
 
 
 def test_limit_reached_exactly_and_excess_lost(rows):

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import as_set
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyworks.operators import accumulators, copy_jobs, key_ranges, loading, numbering
@@ -37,6 +38,27 @@ def test_numbers_restart_within_a_key(rows):
         assert [v for _, v in mine] == sorted(v for _, v in mine)
 
 
+def test_numbers_restart_within_keys_that_cross_partitions(spark):
+    df = spark.range(20_000).select(
+        # one key over many partitions, some small ones, NaN, null and text
+        F.when(F.col("id") % 2 == 0, float("nan")).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 5 * 1.0).alias("k"),
+        F.when(F.col("id") % 3 == 0, "x").otherwise(None).alias("t"),
+        (F.col("id") * 7919 % 20_011).alias("v"),
+    )
+    window = Window.partitionBy("k", "t").orderBy("v")
+    got = numbering.number_rows(df, ["v"], "rn", within=["k", "t"])
+    assert got.columns == ["k", "t", "v", "rn"]
+    wanted = df.withColumn("rn", F.row_number().over(window).cast("long"))
+    assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+
+
+def test_numbers_within_a_key_meet_only_the_partitions(rows):
+    plan = numbering.number_rows(rows("k int, v int", (1, 2), (1, 1)), ["v"], within=["k"])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    # one join, and nothing is grouped by the key
+    assert text.count("Join") == 1 and "Aggregate [k" not in text and "Aggregate [_part" in text
+
+
 def test_numbering_descending_and_empty(rows):
     df = rows("v int", (1,), (3,), (2,))
     got = numbering.number_rows(df, [F.col("v").desc()]).collect()

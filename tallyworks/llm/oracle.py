@@ -149,9 +149,140 @@ FROM d LEFT JOIN named USING (row) GROUP BY row, doc_id
 """
 
 
+#: Levels of a tree written out: enough for 8 ** 10 rows of a language and as many languages.
+_LEVELS = 10
+
+
+def _field(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::varchar))::varchar || ':' || {column}::varchar, '-')"
+
+
+def _row_digest(text: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+def _next_level(name: str, below: str) -> str:
+    """Nodes of one level: of a tree with more than one node below, each run of eight becomes its digest."""
+    return f"""
+{name} AS (
+    SELECT tree, place // 8 AS place, sha256(string_agg(node, '' ORDER BY place)) AS node FROM {below}
+    WHERE tree IN (SELECT tree FROM {below} WHERE place = 1) GROUP BY tree, place // 8
+    UNION ALL SELECT tree, place, node FROM {below} WHERE tree NOT IN (SELECT tree FROM {below} WHERE place = 1))"""
+
+
+def _next_fold(name: str, below: str, nodes: str) -> str:
+    """For each leaf the siblings met so far and the node folded with them, one level further up."""
+    others = f"string_agg(b.node, '' ORDER BY b.place) FILTER (b.place <> a.place)"
+    folded = f"sha256(string_agg(CASE WHEN b.place = a.place THEN a.folded ELSE b.node END, '' ORDER BY b.place))"
+    return f"""
+{name} AS (
+    SELECT a.row, a.tree, a.place // 8 AS place, any_value(a.proof) || coalesce({others}, '') AS proof, {folded} AS folded
+    FROM {below} a JOIN {nodes} b ON a.tree = b.tree AND a.place // 8 = b.place // 8
+    WHERE a.tree IN (SELECT tree FROM {nodes} WHERE place = 1) GROUP BY a.row, a.tree, a.place
+    UNION ALL SELECT * FROM {below} WHERE tree NOT IN (SELECT tree FROM {nodes} WHERE place = 1))"""
+
+
+def _merkle() -> str:
+    lower = f"translate(text, '{_UPPER}', '{_UPPER.lower()}')"
+    # DuckDB has no crc32: bit by bit over the digits of doc_id
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::bigint) ELSE c >> 1 END"
+    levels = [_next_level(f"n{i + 1}", f"n{i}") for i in range(_LEVELS)]
+    folds = [_next_fold(f"f{i + 1}", f"f{i}", f"n{i}") for i in range(_LEVELS)]
+    tops = [_next_level(f"t{i + 1}", f"t{i}") for i in range(_LEVELS)]
+    top_folds = [_next_fold(f"g{i + 1}", f"g{i}", f"t{i}") for i in range(_LEVELS)]
+    body = ",".join
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, * FROM documents),
+crc(row, digits, c, bit) AS (
+    SELECT row, encode(doc_id::varchar), 4294967295::bigint, 0 FROM d WHERE doc_id IS NOT NULL
+    UNION ALL
+    SELECT row, digits, {step}, bit + 1 FROM (
+        SELECT row, digits, bit, CASE WHEN bit % 8 = 0
+            THEN xor(c, ascii(substr(decode(digits), bit // 8 + 1, 1))::bigint) ELSE c END AS c
+        FROM crc WHERE bit < 8 * octet_length(digits))),
+chosen AS (SELECT row FROM crc WHERE bit = 8 * octet_length(digits) AND xor(c, 4294967295::bigint) % 3 = 0),
+leaves AS (SELECT row, doc_id, lang, {_row_digest("text")} AS leaf, {_row_digest(lower)} AS tampered FROM d),
+trees AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) AS tree FROM leaves GROUP BY lang),
+n0 AS (
+    SELECT row, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, leaf AS node,
+        CASE WHEN row IN (SELECT row FROM chosen) THEN tampered ELSE leaf END AS folded, doc_id
+    FROM leaves JOIN trees ON leaves.lang IS NOT DISTINCT FROM trees.lang),
+f0 AS (SELECT row, tree, place, '' AS proof, folded FROM n0),{body(levels)},{body(folds)},
+t0 AS (SELECT 0 AS tree, tree - 1 AS place, node FROM n{_LEVELS}),{body(tops)},
+g0 AS (SELECT row, 0 AS tree, tree - 1 AS place, proof, folded FROM f{_LEVELS}),{body(top_folds)}
+SELECT doc_id, n0.node AS leaf, n{_LEVELS}.node AS subroot, t{_LEVELS}.node AS root, sha256(proof) AS proof_sha256,
+    g.folded AS folded_root, g.folded = t{_LEVELS}.node AS verified
+FROM n0 JOIN n{_LEVELS} ON n{_LEVELS}.tree = n0.tree JOIN g{_LEVELS} g ON g.row = n0.row, t{_LEVELS}
+"""
+
+
+def _audit() -> str:
+    from itertools import permutations
+
+    from tallyworks.llm.filter_audit import LETTERS
+
+    orders = ", ".join(f"('{''.join(order)}')" for order in permutations(LETTERS))
+    fails = " ".join(f"WHEN '{letter}' THEN {letter.lower()}" for letter in LETTERS)
+    return f"""
+WITH words AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w
+    FROM documents),
+firsts AS (SELECT coalesce(text, '') AS text, min(doc_id) AS first_id FROM documents GROUP BY ALL),
+judged AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY ALL),
+failing AS (
+    SELECT row_number() OVER () AS row, part, len(w) < 50 AS a, 100 * len(list_distinct(w)) < 65 * len(w) AS b,
+        100 * len(regexp_replace(words.text, '[^A-Z]', '', 'g')) > 5 * len(words.text) AS c,
+        regexp_matches(words.text, '[#$%&*|]') AS d, coalesce(first_id < words.doc_id, false) AS e,
+        coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+    FROM words JOIN firsts ON words.text = firsts.text LEFT JOIN judged ON words.doc_id = judged.doc_id),
+sets AS (
+    SELECT part, a, b, c, d, e, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+    FROM failing GROUP BY ALL),
+turns AS (
+    SELECT filter_order, step::int AS step, filter_order[step] AS letter, filter_order[:step - 1] AS before
+    FROM (VALUES {orders}) AS o(filter_order), range(1, 6) AS s(step)),
+met AS (
+    SELECT part, filter_order, step, letter, n, n_good, n_toxic, CASE letter {fails} END AS fails,
+        a::int + b::int + c::int + d::int + e::int AS n_fails,
+        (a AND contains(before, 'A')) OR (b AND contains(before, 'B')) OR (c AND contains(before, 'C'))
+            OR (d AND contains(before, 'D')) OR (e AND contains(before, 'E')) AS gone
+    FROM sets, turns),
+steps AS (
+    SELECT part, filter_order, step, letter,
+        coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::bigint AS kept,
+        coalesce(sum(n) FILTER (NOT gone AND fails), 0)::bigint AS removed,
+        coalesce(sum(n) FILTER (gone AND fails), 0)::bigint AS redundant,
+        coalesce(sum(n) FILTER (fails AND n_fails = 1), 0)::bigint AS unique_fails,
+        coalesce(sum(n_good) FILTER (NOT gone AND fails), 0)::bigint AS good_lost,
+        coalesce(sum(n_toxic) FILTER (NOT gone AND fails), 0)::bigint AS toxic_lost
+    FROM met GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, letter))::bigint AS shapley
+FROM steps
+"""
+
+
+TOP_PRODUCTS = """
+WITH v AS (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.row, a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.e, b.e)::bigint AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.row <> b.row AND len(a.e) = len(b.e))
+SELECT query_id, rank, vec_id, score FROM (
+    SELECT *, (row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id))::int AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+
 ORACLE = {
     "op2_source_mixing": MIXING,
     "op3_cap_join": CAP_JOIN,
     "op8_forest_dedup": NEAR_COPIES,
     "op9_secret_ownership": _secrets(),
+    "op11_merkle_manifest": _merkle(),
+    "op12_filter_audit": _audit(),
+    "op13_pivot_topk": TOP_PRODUCTS,
 }

@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.cap_join import vector_links
+from tallyworks.llm.filter_audit import audit_filters
 from tallyworks.llm.forest_dedup import near_copies
+from tallyworks.llm.merkle_manifest import verify_documents
 from tallyworks.llm.order_minhash import fingerprint_documents
 from tallyworks.llm.packing import pack_documents
 from tallyworks.llm.passage_quality import fit_quality, score_quality
+from tallyworks.llm.pivot_topk import top_products
 from tallyworks.llm.scratch import Scratch
 from tallyworks.llm.secret_ownership import scan_secrets
 from tallyworks.llm.source_mixing import mix_sources
@@ -106,6 +109,18 @@ def op10_passage_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return verify_documents(load(spark, folder, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_filters(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
+def op13_pivot_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_products(load(spark, folder, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -117,4 +132,7 @@ QUERIES = {
     "op8_forest_dedup": op8_forest_dedup,
     "op9_secret_ownership": op9_secret_ownership,
     "op10_passage_quality": op10_passage_quality,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_pivot_topk": op13_pivot_topk,
 }

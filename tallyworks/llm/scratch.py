@@ -16,6 +16,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self._count = 0
+        self._kept: list[DataFrame] = []
 
     def path(self, name: str) -> str:
         self._count += 1
@@ -27,6 +28,7 @@ class Scratch:
         df.write.parquet(path)
         stored = self.spark.read.schema(df.schema).parquet(path)
         stored._scratch_path = path
+        self._kept.append(stored)
         return stored
 
     def drop(self, *tables: DataFrame) -> None:
@@ -35,3 +37,8 @@ class Scratch:
             path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch_path)
             config = self.spark.sparkContext._jsc.hadoopConfiguration()
             path.getFileSystem(config).delete(path, True)
+            self._kept = [kept for kept in self._kept if kept is not table]
+
+    def drop_all_but(self, *wanted: DataFrame) -> None:
+        """Delete all stored tables that the results, now stored too, no longer need."""
+        self.drop(*[table for table in self._kept if all(table is not keep for keep in wanted)])

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -108,3 +110,106 @@ def base_scores(docs, held_out):
 
 def remainder(doc_id, divisor: int) -> int | None:
     return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % divisor
+
+
+def _digest(*parts: str) -> str:
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _field(value) -> str:
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def merkle(rows: list[dict], fan: int = 8) -> list[tuple]:
+    """(doc_id, leaf, subroot, root, proof, folded root, verified) of rows of documents."""
+
+    def leaf(row):
+        return _digest(*[_field(row[name]) for name in ("doc_id", "source", "lang", "n_chars", "text")])
+
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([_digest(*levels[-1][i : i + fan]) for i in range(0, len(levels[-1]), fan)])
+        return levels
+
+    def path(levels, i):
+        for level in levels[:-1]:
+            start = i // fan * fan
+            yield "".join(level[start:i]), "".join(level[i + 1 : start + fan])
+            i //= fan
+
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row["lang"]].append((row["doc_id"] is not None, row["doc_id"] or 0, leaf(row), row))
+    order = sorted(groups, key=lambda lang: (lang is not None, (lang or "").encode()))
+    for lang in order:
+        groups[lang].sort(key=lambda x: x[:3])
+    trees = {lang: tree([x[2] for x in groups[lang]]) for lang in order}
+    top = tree([trees[lang][-1][0] for lang in order]) if order else []
+    out = []
+    for g, lang in enumerate(order):
+        for i, (_, _, own, row) in enumerate(groups[lang]):
+            steps, node, doc_id = [*path(trees[lang], i), *path(top, g)], own, row["doc_id"]
+            if doc_id is not None and row["text"] is not None and zlib.crc32(str(doc_id).encode()) % 3 == 0:
+                lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in row["text"])
+                node = leaf({**row, "text": lowered})
+            for left, right in steps:
+                node = _digest(left, node, right)
+            root = top[-1][0]
+            proof = _digest(*[left + right for left, right in steps])
+            out.append((doc_id, own, trees[lang][-1][0], root, proof, node, node == root))
+    return out
+
+
+def audit(docs: list[dict], labels: list[dict]) -> list[tuple]:
+    """Rows of the filter audit, every order run on its own."""
+    good = {row["doc_id"] for row in labels if row["quality"] == 1}
+    toxic = {row["doc_id"] for row in labels if row["toxic"] == 1}
+    first: dict[str, int] = {}
+    for row in docs:
+        if row["doc_id"] is not None:
+            text = row["text"] or ""
+            first[text] = min(first.get(text, row["doc_id"]), row["doc_id"])
+    parts = defaultdict(list)
+    for row in docs:
+        text, doc_id = row["text"] or "", row["doc_id"]
+        found = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+        fails = {
+            "A": len(found) < 50,
+            "B": 100 * len(set(found)) < 65 * len(found),
+            "C": 100 * sum("A" <= c <= "Z" for c in text) > 5 * len(text),
+            "D": any(c in "#$%&*|" for c in text),
+            "E": doc_id is not None and first[text] < doc_id if text in first else False,
+        }
+        parts[row["source"] or ""].append((frozenset(k for k, v in fails.items() if v), doc_id in good, doc_id in toxic))
+    out = []
+    for part, rows in parts.items():
+        share, steps = Counter(), []
+        for order in itertools.permutations("ABCDE"):
+            left, gone = rows, []
+            for step, letter in enumerate(order, 1):
+                removed = [row for row in left if letter in row[0]]
+                redundant = sum(letter in row[0] for row in gone)
+                left = [row for row in left if letter not in row[0]]
+                gone = gone + removed
+                share[letter] += len(removed)
+                alone = sum(row[0] == {letter} for row in rows)
+                lost = [sum(row[i] for row in removed) for i in (1, 2)]
+                steps.append((letter, (part, "".join(order), step, len(left), len(removed), redundant, alone, *lost)))
+        out += [(*step, share[letter]) for letter, step in steps]
+    return out
+
+
+def top_products(rows: list[tuple], k: int = 5, width: int = 256) -> list[tuple]:
+    """(query_id, rank, vec_id, score) of (vec_id, vector) rows."""
+    usable = [
+        (i, v, [math.floor(width * c) for c in x])
+        for i, (v, x) in enumerate(rows)
+        if v is not None and x is not None and all(c is not None and math.isfinite(c) for c in x)
+    ]
+    out = []
+    for i, v, x in usable:
+        if v % 50 == 0:
+            scored = [(-sum(map(int.__mul__, x, y)), w) for j, w, y in usable if j != i and len(x) == len(y)]
+            out += [(v, rank, w, -score) for rank, (score, w) in enumerate(sorted(scored)[:k], 1)]
+    return out

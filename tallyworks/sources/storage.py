@@ -60,7 +60,7 @@ def drop_frozen(spark: SparkSession) -> int:
     """Delete the tables ``freeze`` wrote in this process; for when their results are used up."""
     dropped = 0
     while _FROZEN:
-        target, system = _file_system(spark, _FROZEN.pop())
+        target, system = file_system(spark, _FROZEN.pop())
         dropped += system.delete(target, True)
     return dropped
 
@@ -70,19 +70,19 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return _exists(spark, f"{path}/_SUCCESS")
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    target, system = _file_system(spark, path)
+    target, system = file_system(spark, path)
     return system.exists(target)
 
 
 def list_folders(spark: SparkSession, root: str) -> list[str]:
     """Sub-folders of ``root`` in name order; none when it does not exist."""
-    target, system = _file_system(spark, root)
+    target, system = file_system(spark, root)
     if not system.exists(target):
         return []
     return sorted(

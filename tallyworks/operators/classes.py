@@ -73,6 +73,7 @@ def publish_report(classes: DataFrame, as_of: dt.date) -> DataFrame:
     def amount(name: str) -> Column:
         return rounded(F.col(name)).cast("decimal(18,2)").cast("string")
 
+    # fixed values: the names in the packed texts
     return classes.select(
         long_date(F.lit(as_of)).alias("report_date"),
         "client_id",
@@ -96,11 +97,9 @@ def parse_parameters(df: DataFrame, col: str, key: str, name: str = "value") ->
     return df.withColumn(name, unpack(F.col(col), key))
 
 
-def latest_publication(report: DataFrame) -> DataFrame:
-    """Newest publication, numbered from the highest client id."""
-    day = F.to_date("report_date", "dd MMM yyyy")
-    newest = report.agg(F.max(day)).scalar()
-    current = report.where(day == newest).select(
+def exported_columns(published: DataFrame) -> DataFrame:
+    """The columns of one publication that are exported, and the tax id to order them by."""
+    return published.select(
         "client_id",
         "class",
         F.lit("").alias("note"),
@@ -108,7 +107,22 @@ def latest_publication(report: DataFrame) -> DataFrame:
         F.lit("1").alias("calc_type"),
         "tax_id",
     )
-    return number_rows(current, [F.col("client_id").desc(), "tax_id"], "rn").drop("tax_id")
+
+
+def numbered_publication(published: DataFrame) -> DataFrame:
+    """One publication, numbered from the highest client id."""
+    rows = exported_columns(published)
+    return number_rows(rows, [F.col("client_id").desc(), "tax_id"], "rn").drop("tax_id")
+
+
+def latest_publication(report: DataFrame) -> DataFrame:
+    """Newest publication of a frame with all of them, numbered.
+
+    Reads every publication for its date; where they are stored by day, ``read_publication``
+    finds the newest without that.
+    """
+    day = F.to_date("report_date", "dd MMM yyyy")
+    return numbered_publication(report.where(day == report.agg(F.max(day)).scalar()))
 
 
 def high_income_class(df: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyworks.functions.dates import months_before, previous_month_end
 from tallyworks.sources.storage import load
@@ -279,7 +280,10 @@ class Roles:
 
     @property
     def dated_publication(self) -> DataFrame:
-        return self.table("orders").selectExpr(
+        return self.dated_publication_of(F.lit(True))
+
+    def dated_publication_of(self, orders: Column) -> DataFrame:
+        return self.table("orders").where(orders).selectExpr(
             "o_custkey AS client_id", "last_day(o_orderdate) AS report_date"
         )
 
@@ -372,6 +376,25 @@ class Roles:
             f"{_money('l_extendedprice')} AS amount",
         )
 
+    @property
+    def import_headers(self) -> DataFrame:
+        """Headers with missing and unknown customers and repeated orders."""
+        return self.order_headers.selectExpr(
+            "order_id",
+            """CASE WHEN order_id % 97 = 0 THEN NULL WHEN order_id % 89 = 0 THEN -order_id
+               ELSE customer_id END AS customer_id""",
+            "discount",
+            "freight",
+            "explode(sequence(1, if(order_id % 101 = 0, 2, 1))) AS copy",
+        ).drop("copy")
+
+    @property
+    def import_lines(self) -> DataFrame:
+        """Lines with some unknown parts; the quantity of a seventh line is not known."""
+        return self.order_lines.withColumn(
+            "part_id", F.expr("if(order_id % 107 = 0 AND part_id % 2 = 0, -part_id - 1, part_id)")
+        )
+
     @property
     def price_lines(self) -> DataFrame:
         return self.table("lineitem").selectExpr(

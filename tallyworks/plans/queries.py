@@ -26,6 +26,7 @@ from tallyworks.operators import (
     lookups,
     numbering,
     payments,
+    stored_jobs,
 )
 from tallyworks.plans.bindings import (
     AS_OF,
@@ -37,8 +38,9 @@ from tallyworks.plans.bindings import (
     Roles,
 )
 from tallyworks.plans.risk import RiskReport, RiskSources
-from tallyworks.sources.sinks import append_rows
-from tallyworks.sources.storage import scratch_path
+from tallyworks.sources.sinks import PUBLISHED, publish_rows, read_publication
+from tallyworks.sources.storage import freeze, scratch_path
+from tallyworks.sources.stored import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,6 +101,14 @@ def risk_report(r: Roles) -> RiskReport:
     return RiskReport(risk_sources(r), AS_OF)
 
 
+def new_store(r: Roles, **tables: tuple[DataFrame, str]) -> TableStore:
+    """A store of its own with tables laid out by key."""
+    store = TableStore(r.spark, scratch_path(r.spark, "store"))
+    for name, (df, key) in tables.items():
+        stored_jobs.store_table(store, name, df, key)
+    return store
+
+
 # --- client risk report ---------------------------------------------------------
 
 
@@ -112,11 +122,26 @@ def readiness_gate(r: Roles) -> DataFrame:
     return gate.readiness_gate(r.ledger_all, r.portfolio, target, published, AS_OF)
 
 
+@query
+def readiness_gate_short(r: Roles) -> DataFrame:
+    """The target holds only part of the last publication: its count fails."""
+    published = r.dated_publication
+    newest = published.agg(F.max("report_date")).scalar()
+    held = r.dated_publication_of(F.col("o_orderstatus") == "O").withColumnRenamed("report_date", "input_date")
+    target = held.where(F.col("input_date") == newest)
+    return gate.readiness_gate(r.ledger_all, r.portfolio, target, published, AS_OF)
+
+
 @query
 def gate_outcome(r: Roles) -> DataFrame:
     return gate.gate_outcome(readiness_gate(r))
 
 
+@query
+def gate_outcome_short(r: Roles) -> DataFrame:
+    return gate.gate_outcome(readiness_gate_short(r))
+
+
 @query
 def assert_snapshot_date(r: Roles) -> DataFrame:
     checked = gate.assert_snapshot_date(r.portfolio, "report_date", AS_OF)
@@ -259,36 +284,32 @@ def client_risk_report(r: Roles) -> DataFrame:
     return risk_report(r).report()
 
 
-@query
-def publish_report(r: Roles) -> DataFrame:
-    path = scratch_path(r.spark, "report")
-    for day in (EARLIER, AS_OF):
-        append_rows(classes.publish_report(_plain_classes(r), day), path)
-    return r.spark.read.parquet(path)
+def _classes(r: Roles) -> DataFrame:
+    """Classes of the whole report, stored: several publications read them."""
+    return freeze(risk_report(r).classes(), "classes")
 
 
-def _plain_classes(r: Roles) -> DataFrame:
-    """Classes of a simple profile: source delay, account balance as income, limit share as payment."""
-    debts = exposure.exposure_rollup(r.portfolio)
-    worst = debts.withColumnRenamed("source_dpd", "dpd")
-    customers = r.table("customer").select(
-        F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("tax_id"),
-        F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("avg_salary"),
-    )
-    paid = payments.payments_by_client([payments.card_min_payment(r.cards, r.card_usage, PREMIUM_CARD)])
-    return classes.risk_class(
-        classes.client_profile(exposure.client_exposure(debts, worst), customers, paid)
-    )
+def _published(r: Roles) -> str:
+    """A folder with two publications; the second is published twice, as by a restarted job."""
+    path, rows = scratch_path(r.spark, "report"), _classes(r)
+    for day in (EARLIER, AS_OF, AS_OF):
+        publish_rows(classes.publish_report(rows, day), path, day)
+    return path
 
 
 def _two_reports(r: Roles) -> DataFrame:
-    rows = _plain_classes(r)
+    rows = _classes(r)
     return classes.publish_report(rows, EARLIER).unionByName(classes.publish_report(rows, AS_OF))
 
 
+@query
+def publish_report(r: Roles) -> DataFrame:
+    return r.spark.read.parquet(_published(r)).drop(PUBLISHED)
+
+
 @query
 def parse_parameters(r: Roles) -> DataFrame:
-    report = classes.publish_report(_plain_classes(r), AS_OF)
+    report = classes.publish_report(_classes(r), AS_OF)
     for key in ("Income", "DTI", "DPD", "Sum_dolg"):
         report = classes.parse_parameters(report, "parameters", key, key.lower())
     return report.where(F.col("class") != 5).select(
@@ -298,12 +319,33 @@ def parse_parameters(r: Roles) -> DataFrame:
 
 @query
 def latest_publication(r: Roles) -> DataFrame:
+    return classes.numbered_publication(read_publication(r.spark, _published(r)))
+
+
+@query
+def latest_publication_by_date(r: Roles) -> DataFrame:
+    """The same from one frame of all publications."""
     return classes.latest_publication(_two_reports(r))
 
 
+def _exported(r: Roles) -> tuple[TableStore, DataFrame]:
+    """An export of the earlier publication, replaced by the newest one; the second run starts twice."""
+    path, store = _published(r), new_store(r)
+    order = [F.col("client_id").desc(), "tax_id"]
+    for day in (EARLIER, AS_OF, AS_OF):
+        rows = classes.exported_columns(read_publication(r.spark, path, day))
+        counts = stored_jobs.export_in_slices(store, "export", rows, order, f"export {day}", 1000)
+    return store, counts
+
+
 @query
 def replace_export(r: Roles) -> DataFrame:
-    return numbering.slices(classes.latest_publication(_two_reports(r)), 1000)
+    return _exported(r)[1]
+
+
+@query
+def exported_rows(r: Roles) -> DataFrame:
+    return _exported(r)[0].read("export").drop("tax_id")
 
 
 @query
@@ -632,6 +674,92 @@ def reprice_once(r: Roles) -> DataFrame:
     return copy_jobs.reprice_once(lines, *job)
 
 
+@query
+def stored_purge(r: Roles) -> DataFrame:
+    """Old orders deleted from a stored table, the job stopped half way and started again."""
+    store = new_store(r, orders=(r.table("orders").select("o_orderkey", "o_orderdate"), "o_orderkey"))
+    job = ("orders", "o_orderdate", dt.date(1998, 1, 1), "purge")
+    stored_jobs.purge_stored(store, *job, files_per_step=4)
+    stored_jobs.purge_stored(store, *job)
+    return store.read("orders")
+
+
+@query
+def stored_fill_unset(r: Roles) -> DataFrame:
+    store = new_store(r, lines=(_fillable(r), "l_orderkey"))
+    value = F.md5(F.col("l_orderkey").cast("string"))
+    stored_jobs.fill_stored(store, "lines", "l_orderkey", "filler", value, "fill")
+    return store.read("lines")
+
+
+@query
+def stored_reprice(r: Roles) -> DataFrame:
+    """Prices raised once, though the job is started twice."""
+    store = new_store(r, lines=(r.price_lines, "order_id"))
+    for _ in range(2):
+        stored_jobs.reprice_stored(store, "lines", "unit_price", Decimal("1.2"), "rise", files_per_step=4)
+    return store.read("lines")
+
+
+@query
+def stored_unload(r: Roles) -> DataFrame:
+    """Order lines left after a batch of orders went from headers and lines in one commit."""
+    store = new_store(
+        r,
+        headers=(r.table("orders").select(F.col("o_orderkey").alias("order_id"), "o_orderpriority"), "order_id"),
+        lines=(r.table("lineitem").select(F.col("l_orderkey").alias("order_id"), "l_partkey", "l_linenumber"), "order_id"),
+    )
+    batch = store.read("headers").where(F.col("o_orderpriority") == "1-URGENT")
+    stored_jobs.unload_stored(store, ["headers", "lines"], batch, "order_id", "unload")
+    left = store.read("lines").join(store.read("headers").select("order_id"), "order_id", "left_semi")
+    return left.withColumnRenamed("order_id", "l_orderkey")
+
+
+def _loaded_twice(r: Roles) -> TableStore:
+    """A third of an import loaded by one run, then the whole import by a second one."""
+    store = new_store(r)
+    for job, headers in (("first", r.import_headers.where(F.col("order_id") % 3 == 0)), ("second", r.import_headers)):
+        stored_jobs.load_orders(
+            store,
+            headers,
+            r.import_lines,
+            job,
+            header_rules={"no customer": F.col("customer_id").isNull()},
+            detail_rules={"no quantity": F.col("quantity").isNull()},
+            header_refs={"unknown customer": ("customer_id", r.table("customer"), "c_custkey")},
+            detail_refs={"unknown part": ("part_id", r.table("part"), "p_partkey")},
+        )
+    return store
+
+
+@query
+def stored_load_headers(r: Roles) -> DataFrame:
+    return _loaded_twice(r).read("order_headers")
+
+
+@query
+def stored_load_lines(r: Roles) -> DataFrame:
+    return _loaded_twice(r).read("order_lines")
+
+
+@query
+def stored_load_rejects(r: Roles) -> DataFrame:
+    return _loaded_twice(r).read("order_rejects")
+
+
+@query
+def stored_load_runs(r: Roles) -> DataFrame:
+    return _loaded_twice(r).read("load_runs")
+
+
+@query
+def stored_upsert(r: Roles) -> DataFrame:
+    target, source, guard, set_exprs, insert_exprs = _balances_to_merge(r)
+    store = new_store(r, balances=(target, "customer_id"))
+    stored_jobs.upsert_stored(store, "balances", source, "customer_id", guard, set_exprs, insert_exprs, "merge")
+    return store.read("balances")
+
+
 @query
 def order_total(r: Roles) -> DataFrame:
     return loading.order_total(r.order_headers, r.order_lines)
@@ -757,19 +885,17 @@ def retype_violations(r: Roles) -> DataFrame:
 
 @query
 def check_keys(r: Roles) -> DataFrame:
-    promo = r.table("part").where(F.col("p_type") == "PROMO")
     return loading.check_keys(
-        r.table("lineitem"),
-        ["l_orderkey", "l_linenumber"],
+        r.faulty_details.unionByName(r.faulty_details.where(F.col("order_id") % 113 == 0)),
+        ["order_id", "line_no"],
         {
-            "l_orderkey": (r.table("orders"), "o_orderkey"),
-            "l_partkey": (promo, "p_partkey"),
+            "order_id": (r.order_headers.where(F.col("order_id") % 109 != 0), "order_id"),
+            "part_id": (r.table("part"), "p_partkey"),
         },
     )
 
 
-@query
-def upsert(r: Roles) -> DataFrame:
+def _balances_to_merge(r: Roles) -> tuple:
     target = r.table("customer").where(F.col("c_mktsegment") != "BUILDING").select(
         F.col("c_custkey").alias("customer_id"),
         money(F.col("c_acctbal")).alias("balance"),
@@ -780,20 +906,21 @@ def upsert(r: Roles) -> DataFrame:
         r.customer_orders.groupBy("customer_id")
         .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n"))
     )
-    return loading.upsert(
-        target,
-        source,
-        "customer_id",
-        F.col("t.balance") > 0,
-        {
-            "balance": F.col("t.balance") + F.col("s.amount"),
-            "n_orders": F.col("t.n_orders") + F.col("s.n"),
-            "state": F.lit("changed"),
-        },
-        {
-            "customer_id": F.col("s.customer_id"),
-            "balance": F.col("s.amount"),
-            "n_orders": F.col("s.n"),
-            "state": F.lit("new"),
-        },
-    )
+    set_exprs = {
+        "balance": F.col("t.balance") + F.col("s.amount"),
+        "n_orders": F.col("t.n_orders") + F.col("s.n"),
+        "state": F.lit("changed"),
+    }
+    insert_exprs = {
+        "customer_id": F.col("s.customer_id"),
+        "balance": F.col("s.amount"),
+        "n_orders": F.col("s.n"),
+        "state": F.lit("new"),
+    }
+    return target, source, F.col("t.balance") > 0, set_exprs, insert_exprs
+
+
+@query
+def upsert(r: Roles) -> DataFrame:
+    target, source, guard, set_exprs, insert_exprs = _balances_to_merge(r)
+    return loading.upsert(target, source, "customer_id", guard, set_exprs, insert_exprs)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions.dates import month_start, months_before, previous_month_end
 from tallyworks.operators import classes, exposure, income, payments
 from tallyworks.operators.gate import gate_outcome
-from tallyworks.sources.sinks import append_rows, replace_rows
+from tallyworks.sources.sinks import publish_rows, read_publication, replace_rows
 from tallyworks.sources.storage import freeze
 
 
@@ -115,13 +115,13 @@ def run_scoring(
 ) -> str:
     """The whole job: check, publish, replace the export. Returns what was decided.
 
-    ``checks`` comes from the readiness gate. Its "not loaded yet" check keeps a
-    repeated start from publishing a month twice.
+    ``checks`` comes from the readiness gate. A day's publication is a folder of its own: a job
+    that stopped after publishing and is started again puts the same day in place once more.
     """
     outcome = gate_outcome(checks).first()["outcome"]
     if outcome != "run":
         return outcome
-    append_rows(report.report(), report_path)
-    published = checks.sparkSession.read.parquet(report_path)
-    replace_rows(classes.latest_publication(published), export_path)
+    publish_rows(report.report(), report_path, report.as_of)
+    published = read_publication(checks.sparkSession, report_path, report.as_of)
+    replace_rows(classes.numbered_publication(published), export_path)
     return outcome

@@ -62,28 +62,41 @@ def _differs(before: pa.Array, after: pa.Array, floating: bool) -> np.ndarray:
     return pc.or_(differ, pc.xor(before.is_null(), after.is_null())).to_numpy(zero_copy_only=False)
 
 
-def _numbered_runs(schema: StructType, keys: Sequence[str]):
-    """Task function adding ``_run``; holds one batch and the keys of the last row."""
+def with_starts(
+    batches: Iterator[pa.RecordBatch], schema: StructType, keys: Sequence[str]
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Sorted batches, each with a mark on every row whose keys differ from those of the row before.
+
+    Holds one batch and the keys of the last row.
+    """
     floating = [isinstance(schema[key].dataType, (FloatType, DoubleType)) for key in keys]
+    last = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        starts = np.zeros(n, bool)
+        columns = [batch.column(schema.fieldNames().index(key)) for key in keys]
+        for place, column in enumerate(columns):
+            if last is None:
+                starts[0] = True
+            else:
+                starts[:1] |= _differs(last[place], column.slice(0, 1), floating[place])
+            starts[1:] |= _differs(column.slice(0, n - 1), column.slice(1), floating[place])
+        last = [column.slice(n - 1) for column in columns]
+        yield batch, starts
+
+
+def _numbered_runs(schema: StructType, keys: Sequence[str]):
+    """Task function adding ``_run``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, length = None, 0  # keys of the last row so far, and its run up to it
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            starts = np.zeros(n, bool)
-            columns = [batch.column(schema.fieldNames().index(key)) for key in keys]
-            for place, column in enumerate(columns):
-                if last is None:
-                    starts[0] = True
-                else:
-                    starts[:1] |= _differs(last[place], column.slice(0, 1), floating[place])
-                starts[1:] |= _differs(column.slice(0, n - 1), column.slice(1), floating[place])
-            places = np.arange(n)
+        length = 0  # rows so far of the run that the last batch ended in
+        for batch, starts in with_starts(batches, schema, keys):
+            places = np.arange(batch.num_rows)
             begun = np.maximum.accumulate(np.where(starts, places, -1))
             runs = np.where(begun < 0, length + places, places - begun)
-            last, length = [column.slice(n - 1) for column in columns], int(runs[-1]) + 1
+            length = int(runs[-1]) + 1
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(runs, pa.int64())], [*schema.fieldNames(), "_run"]
             )

@@ -2,8 +2,9 @@ from __future__ import annotations
 
 import datetime as dt
 import random
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
+import numpy as np
 import pytest
 from conftest import as_set
 from pyspark.sql import Window
@@ -162,6 +163,39 @@ def test_accumulator_does_not_depend_on_the_layout(rows, parts):
     assert {tuple(r) for r in some.collect()} == {row for row in expected if row[1] > 0}
 
 
+@pytest.mark.parametrize("low", [0, -9])
+@pytest.mark.parametrize("goal", [-3, 0, 1, 40])
+def test_next_place_that_is_higher(low, goal):
+    chance = random.Random(goal)
+    sums = accumulators._running(np.array([chance.randrange(low, 12) for _ in range(200)]))
+    wanted = [next((k for k in range(i + 1, 201) if sums[k] - sums[i] >= goal), 201) for i in range(201)]
+    assert accumulators._next_reached(sums, goal).tolist() == wanted
+
+
+@pytest.mark.parametrize("limit", ["1000000", "-1", "100.005"])
+def test_accumulator_of_a_key_over_all_partitions(rows, limit):
+    # a large limit: the open sum passes through whole partitions
+    chance = random.Random(8)
+    values = [("k", n, D(chance.randrange(10_000))) for n in range(3000)] + [("z", 1, D(5))]
+    got = accumulators.reset_accumulator(
+        rows("k string, n int, a decimal(14,2)", *values), "k", ["n"], "a", limit, cap=50, keep_zero=True, parts=9
+    )
+    goal = D(limit).quantize(D("0.01"), ROUND_HALF_UP)
+    assert as_set(got) == [("k", presents([a for _, _, a in values[:-1]], goal, 50)), ("z", int(goal <= 5))]
+
+
+def test_rows_are_moved_once(rows, monkeypatch):
+    plans = []
+    stored = accumulators.freeze
+    monkeypatch.setattr(accumulators, "freeze", lambda df, label: plans.append(df) or stored(df, label))
+    df = rows("k int, n int, a decimal(14,2)", *[(k % 3, k, D(1)) for k in range(50)])
+    got = accumulators.reset_accumulator(df, "k", ["n"], "a", "5", parts=3)
+    (written,) = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    assert written.count("Exchange rangepartitioning") == 1 and written.count("Exchange") == 1
+    # what follows reads counts and the figures of the edges
+    assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_limit_reached_exactly_and_excess_lost(rows):
     df = rows(
         "k int, n int, a decimal(14,2)",

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tallyworks.operators.numbering import with_starts
+from tallyworks.sources.shipping import ship
 from tallyworks.sources.storage import freeze
 
 MONEY = "decimal(14,2)"
@@ -52,6 +53,7 @@ def reset_accumulator(
     is a key like others. ``parts`` sets the number of range partitions (Spark's
     choice without it); the result does not depend on it.
     """
+    ship(df.sparkSession)
     goal = int(Decimal(limit).quantize(Decimal("0.01"), ROUND_HALF_UP) * 100)
     cents = F.coalesce((F.col(amount).cast(MONEY) * 100).cast("long"), F.lit(0).cast("long"))
     rows = df.select(F.col(key).alias("_key"), *[F.col(name).alias(f"_o{i}") for i, name in enumerate(order)], cents.alias("_cents"))

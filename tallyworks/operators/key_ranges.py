@@ -27,6 +27,7 @@ from tallyworks.operators.numbering import (
     slot_partition,
     slot_place,
 )
+from tallyworks.sources.shipping import ship
 from tallyworks.sources.storage import freeze
 
 CHUNK_KEYS = 1_000_000
@@ -51,6 +52,7 @@ def key_range_batches(
         return numbered.groupBy(F.expr(f"(_rn - 1) div {int(size)}").alias("batch")).agg(
             F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n")
         )
+    ship(df.sparkSession)
     spans = _key_spans(df, key, chunk_keys)
     cuts = _cuts(spans, key, size, fanout)
     lows = spans.select(F.col("start"), F.col(key).alias("lo"))

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, LongType, MapType, StructField, StructType
 
+from tallyworks.sources.shipping import ship
 from tallyworks.sources.storage import freeze
 
 _SLOT_BITS = 33  # monotonically_increasing_id: partition above, row below
@@ -48,6 +49,7 @@ def lay_out(
     order = [*_columns(order_by), F.xxhash64(*hashed)]
     laid = df.repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order)
     if runs:
+        ship(df.sparkSession)
         schema = StructType([*df.schema.fields, StructField("_run", LongType(), False)])
         laid = laid.mapInArrow(_numbered_runs(df.schema, tuple(runs)), schema)
     return freeze(laid.withColumn(slot, F.monotonically_increasing_id()), "layout")

@@ -12,12 +12,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyworks.sources.shipping import ship
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 _FROZEN: list[str] = []
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a data folder."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tallyworks.sources.shipping import ship
+
 
 def stream_reset_accumulator(
     orders: DataFrame,
@@ -24,6 +26,7 @@ def stream_reset_accumulator(
     later rows. What a task holds for a key is its share of one micro-batch, so
     the source's rate limit (such as ``maxFilesPerTrigger``) bounds it.
     """
+    ship(orders.sparkSession)
     key_type = orders.schema[key].dataType.simpleString()
     goal = Decimal(limit)
 

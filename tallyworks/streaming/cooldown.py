@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
+from tallyworks.sources.shipping import ship
+
 NEVER = dt.date(1900, 1, 1)
 _EPOCH = dt.date(1970, 1, 1)
 _DAY_MS = 86_400_000
@@ -110,6 +112,7 @@ def stream_reset_accumulator_cooldown(
     adds nothing and a null key is a key like others. Needs the RocksDB state store
     (``spark.sql.streaming.stateStore.providerClass``).
     """
+    ship(orders.sparkSession)
     moment = F.col(time).cast("timestamp")
     cents = F.coalesce((F.col(amount).cast(_MONEY) * 100).cast("long"), F.lit(0).cast("long"))
     kind = orders.schema[key].dataType

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tallyworks.sources.shipping import ship
+
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long"
@@ -100,6 +102,7 @@ def pack_documents(
     Tasks pack on their own: a sequence never holds pieces of two tasks, and a repeated
     task gives the same sequences, since its rows are sorted first.
     """
+    ship(docs.sparkSession)
     schema = SCHEMA + (", ids binary" if with_ids else "")
     names = [part.split()[0] for part in schema.split(",")]
     types = [pa.binary() if name == "ids" else pa.int64() for name in names]
@@ -119,7 +122,7 @@ def pack_documents(
 
         for whole in batches:
             for batch in parts(whole, "text"):
-                texts = batch.column("text").to_pylist()
+                texts = batch.column("text")
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), memory.ids(texts)):
                     ids += end
                     total, start = len(ids) // 4, 0

@@ -2,59 +2,158 @@
 
 from __future__ import annotations
 
+import gc
+import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+_WORDS_A_TEXT = 40
 _LOADED: dict[str, WordMemory] = {}
-_ODD_SPACE = re.compile(r" (?:\s|$)")
+#: A space that may not begin a word: at the end, or before anything but letters, marks, numbers and signs.
+_ODD_SPACE = r" (?:[^\pL\pM\pN\pP\pS]|$)"
 _WORD_START = re.compile(r"(?= \S)")
 
 
 class WordMemory:
     """Encodes texts word by word; equal words are encoded once.
 
-    The tokenizer splits a text before each space that a non-space follows and never
-    joins across, so a text's ids are those of its words, each with the space in
-    front of it. ``ids`` are little-endian 32-bit values.
+    A byte-level tokenizer with its usual pattern splits a text before each space that a
+    non-space follows and never joins across, so a text's ids are those of its words, each with
+    the space in front of it. Any other kind of tokenizer is given whole texts.
+
+    New words go to the tokenizer many at a time, as one text, and its offsets tell which ids
+    are whose. Of the words known, the ``limit`` newest at least are kept. ``ids`` are
+    little-endian 32-bit values.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            kind = json.load(file)
+        self._by_word = _cut_at_spaces(kind)
         self._limit = limit
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     @property
     def vocabulary(self) -> int:
         return self._tokenizer.get_vocab_size()
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        split = [_words(text or "") for text in texts]
-        known = self._known
-        if len(known) > self._limit:
-            known.clear()
-        missing = list({word for words in split for word in words if word not in known})
+    def ids(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not self._by_word:
+            encoded = self._tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)
+            return [np.array(one.ids, "<u4").tobytes() for one in encoded]
+        # millions of small objects and no cycles: the collector would look them over in vain
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._by_words(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _by_words(self, texts: pa.Array) -> list[bytes]:
+        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
+        places = np.flatnonzero(odd)
+        if not len(places):
+            return self._regular(texts)
+        out: list[bytes] = [b""] * len(texts)
+        plain = np.flatnonzero(~odd)
+        for place, ids in zip(plain.tolist(), self._regular(texts.take(pa.array(plain)))):
+            out[place] = ids
+        split = [[word for word in _WORD_START.split(text) if word] for text in texts.take(pa.array(places)).to_pylist()]
+        words = list(set().union(*split))
+        known = dict(zip(words, self._codes(words)))
+        for place, own in zip(places.tolist(), split):
+            out[place] = b"".join(map(known.__getitem__, own))
+        return out
+
+    def _regular(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts whose every space begins a word: all words at once, their ids gathered by place."""
+        if not len(texts):
+            return []
+        pieces = pc.split_pattern(texts, " ")
+        cuts = pieces.offsets.to_numpy()
+        flat, first = pieces.flatten(), np.zeros(cuts[-1] - cuts[0], bool)
+        cuts = cuts - cuts[0]
+        first[cuts[:-1]] = True
+        begins = flat.filter(pa.array(first)).dictionary_encode()
+        others = flat.filter(pa.array(~first)).dictionary_encode()
+        words = [" " + word for word in others.dictionary.to_pylist()]
+        codes = self._codes(words + begins.dictionary.to_pylist())
+        place = np.empty(len(flat), np.int64)
+        place[~first] = others.indices.to_numpy()
+        place[first] = begins.indices.to_numpy() + len(words)
+        sizes = np.array([len(code) // 4 for code in codes], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[place]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) + np.repeat(starts[place] - ends + lengths, lengths)
+        ids = np.frombuffer(b"".join(codes), "<u4")[at].tobytes()
+        bounds = (4 * np.concatenate([[0], ends])[cuts]).tolist()
+        return [ids[start:end] for start, end in zip(bounds, bounds[1:])]
+
+    def _codes(self, words: list[str]) -> list[bytes]:
+        """Ids of different words, in their order."""
+        if len(self._known) > self._limit:
+            self._known, self._older = {}, self._known
+        known, older = self._known, self._older
+        codes = list(map(known.get, words))
+        missing = []
+        for place, code in enumerate(codes):
+            if code is None:
+                word = words[place]
+                code = older.get(word) if word else b""
+                if code is None:
+                    missing.append(place)
+                else:
+                    known[word] = codes[place] = code
         for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            for word, code in zip(some, self._tokenizer.encode_batch(some, add_special_tokens=False)):
-                known[word] = np.array(code.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-
-def _words(text: str) -> list[str]:
-    if not text:
-        return []
-    if _ODD_SPACE.search(text):
-        return [word for word in _WORD_START.split(text) if word]
-    first, *rest = text.split(" ")
-    words = [" " + word for word in rest]
-    if first:
-        words.insert(0, first)
-    return words
+            some = [words[place] for place in missing[at : at + 20_000]]
+            self._learn(some)
+        for place in missing:
+            codes[place] = known[words[place]]
+        return codes
+
+    def _learn(self, words: list[str]) -> None:
+        known = self._known
+        # a text's first word has no space in front that would keep it apart from the one before
+        first = [word for word in words if word[0] != " "]
+        for word, code in zip(first, self._tokenizer.encode_batch(first, add_special_tokens=False)):
+            known[word] = np.array(code.ids, "<u4").tobytes()
+        rest = [word for word in words if word[0] == " "] if first else words
+        # long texts cost the tokenizer more a word than texts of some words
+        texts = ["".join(rest[at : at + _WORDS_A_TEXT]) for at in range(0, len(rest), _WORDS_A_TEXT)]
+        codes = self._tokenizer.encode_batch(texts, add_special_tokens=False)
+        places = np.array(list(chain.from_iterable(code.offsets for code in codes)), np.int64).reshape(-1, 2)
+        # offsets leave out blanks: a token of nothing else ends where it begins
+        inside = places[:, 0] - (places[:, 0] == places[:, 1])
+        before = np.cumsum([0] + [len(text) for text in texts])[:-1]
+        inside += np.repeat(before, [len(code) for code in codes])
+        cuts = np.searchsorted(inside, np.cumsum([len(word) for word in rest])).tolist()
+        ids = np.array(list(chain.from_iterable(code.ids for code in codes)), "<u4").tobytes()
+        for word, start, end in zip(rest, [0, *cuts], cuts):
+            known[word] = ids[4 * start : 4 * end]
+
+
+def _cut_at_spaces(kind: dict) -> bool:
+    """Whether a tokenizer's file asks for the byte-level pattern alone."""
+    cutter = kind.get("pre_tokenizer") or {}
+    plain = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+    # an added token with a space inside, or one that takes spaces beside it, could reach over two words
+    added = kind.get("added_tokens", [])
+    return plain and not kind.get("normalizer") and not any(
+        " " in token["content"] or token.get("lstrip") or token.get("rstrip") for token in added
+    )
 
 
 def word_memory(path: str) -> WordMemory:

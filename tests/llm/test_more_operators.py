@@ -61,6 +61,29 @@ def test_words_are_encoded_as_whole_texts():
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_a_small_memory_gives_the_same_ids():
+    from tokenizers import Tokenizer
+
+    tokenizer, memory = Tokenizer.from_file(BYTE_BPE), WordMemory(BYTE_BPE, limit=20)
+    rng = random.Random(2)
+    texts = ["<|endoftext|> a<|endoftext|> b", " <|endoftext|>", "x\r\n y", "😀 👩\u200d👩 z", "\n", "   "]
+    texts += [" ".join(rng.choice(["the", "é語", "x,\n", "’", "w"]) + str(rng.randrange(99)) for _ in range(60)) for _ in range(60)]
+    for at in range(0, len(texts), 7):
+        for text, got in zip(texts[at : at + 7], memory.ids(texts[at : at + 7])):
+            assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_other_kinds_of_tokenizers_get_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    cut = Tokenizer(models.WordLevel({"a": 0, "b": 1, "[u]": 2}, unk_token="[u]"))
+    cut.pre_tokenizer = pre_tokenizers.Split("b", "isolated")
+    cut.save(str(tmp_path / "cut.json"))
+    texts = ["a", "ab", " b", "a b a", None, ""]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in WordMemory(str(tmp_path / "cut.json")).ids(texts)]
+    assert got == [cut.encode(text or "").ids for text in texts]
+
+
 def test_pieces_hold_every_id_once(docs, ids):
     pieces = pack_documents(docs, BYTE_BPE).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyworks.sources.shipping import ship
 from tallyworks.sources.storage import shared_folder
 
 
@@ -13,6 +14,7 @@ class Scratch:
     """Tables that a job stores to cut its lineage; ``drop`` removes those no longer needed."""
 
     def __init__(self, spark: SparkSession, label: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self._count = 0

@@ -19,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyworks.sources.shipping import ship
+
 MAGIC = b"TWEF0001"
 STEP = 256
 MANIFEST = "shard long, name string, n_docs long, n_tokens long"
@@ -118,11 +120,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
     Returns the manifest (shard, name, n_docs, n_tokens) of the files. ``docs`` has doc_id
     and text; a null text is empty, null doc_ids come first, and equal doc_ids follow the
-    order of their texts. An attempt writes under a name of its own, and only the files of
+    order of their texts' hashes. An attempt writes under a name of its own, and only the files of
     finished attempts are in the manifest, so repeated tasks do no harm. ``folder`` must be
     one that every executor reaches.
     """
 
+    ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tallyworks.llm.token_ids import word_memory
         from tallyworks.llm.words import parts
@@ -141,7 +145,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 if out is None:
                     system.create_dir(root, recursive=True)
                     out = system.open_output_stream(f"{root}/{name}.ids")
-                encoded = [ids + end for ids in memory.ids(batch.column("text").to_pylist())]
+                encoded = [ids + end for ids in memory.ids(batch.column("text"))]
                 doc_ids += batch.column("doc_id").to_pylist()
                 lengths += [len(ids) // 4 for ids in encoded]
                 out.write(np.frombuffer(b"".join(encoded), "<u4").astype(f"<u{width}").tobytes())
@@ -153,10 +157,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             row = {"shard": [shard], "name": [name], "n_docs": [len(lengths)], "n_tokens": [int(ends[-1])]}
             yield pa.RecordBatch.from_pydict(row)
 
+    # bounds are sampled to the driver: numbers only, no texts; equal doc_ids are dealt by hash
+    by_id = F.col("doc_id").asc_nulls_first()
     ordered = (
         docs.select("doc_id", "text")
-        .repartitionByRange(F.col("doc_id").asc_nulls_first(), "text")
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        .repartitionByRange(by_id, F.xxhash64("text"))
+        .sortWithinPartitions(by_id, F.xxhash64("text"), "text")
     )
     return ordered.mapInArrow(run, MANIFEST)
 

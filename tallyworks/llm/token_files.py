@@ -200,4 +200,6 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, with
                         arrays.append(pa.array(columns[4], pa.list_(pa.int32())))
                     yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return shards.select("name", "first").repartition(F.col("name")).mapInArrow(run, schema)
+    # a number of its own keeps small rows, each a whole file to read, from being put in one task
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return shards.select("name", "first").repartition(tasks, "name").mapInArrow(run, schema)

@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.dates import month_start
 from tallyworks.functions.text import pieces
-from tallyworks.operators.skew import crowded_keys
 
-FEW_CONTRACTS = 64  # contracts per client still compared one by one
 EXPOSURE_KEYS = ("client_id", "tax_id", "deal_id", "source_deal_no", "source_dpd")
 
 
@@ -43,43 +41,27 @@ def deal_enrich(exposure: DataFrame, deals: DataFrame, snapshot: DataFrame) -> D
     )
 
 
-def contract_text_match(
-    exposure: DataFrame, contracts: DataFrame, few: int = FEW_CONTRACTS
-) -> DataFrame:
+def contract_text_match(exposure: DataFrame, contracts: DataFrame, salts: int = 8) -> DataFrame:
     """Deals whose number contains a contract number of the same client.
 
-    A client's few contracts are compared one by one. For a client with more
-    than ``few`` of them the pairs would grow with both sides, so there the
-    containment becomes an equality: a contract number lies inside a deal number
-    exactly when it is one of the deal number's substrings.
+    A contract number lies inside a deal number exactly when it is one of the deal number's
+    substrings, so the containment becomes an equality of client and text, and no task meets more
+    pairs than it finds. Substrings are taken in the lengths that the client's contract numbers
+    have, of which there are no more than a deal number has characters. A client's deals are
+    dealt out to ``salts`` tasks when they meet these lengths.
     """
     usable = contracts.withColumn("_no", F.rtrim("contract_no")).where(F.col("_no") != "")
-    shown = [*exposure.columns, "contract_no", "contract_id", "credit_limit"]
-    crowded = crowded_keys(usable, "tax_id", few)
-    if crowded is None:
-        return _compare_each(exposure, usable).select(*shown)
-    ordinary = usable.join(crowded, "tax_id", "left_anti")
-    many = usable.join(crowded, "tax_id", "left_semi")
-    return (
-        _compare_each(exposure, ordinary)
-        .select(*shown)
-        .unionByName(_compare_substrings(exposure, many).select(*shown))
+    lengths = (
+        usable.groupBy("tax_id")
+        .agg(F.collect_set(F.length("_no")).alias("_lengths"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-
-
-def _compare_each(exposure: DataFrame, contracts: DataFrame) -> DataFrame:
-    return exposure.join(contracts, "tax_id").where(
-        F.contains(F.col("source_deal_no"), F.col("_no"))
-    )
-
-
-def _compare_substrings(exposure: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Substrings are only taken in the lengths the client's contract numbers have."""
-    lengths = contracts.groupBy("tax_id").agg(F.collect_set(F.length("_no")).alias("_lengths"))
-    expanded = exposure.join(lengths, "tax_id").withColumn(
+    salted = exposure.withColumn("_salt", F.pmod(F.xxhash64("deal_id", "source_deal_no"), F.lit(salts)).cast("int"))
+    cut = salted.join(lengths, ["tax_id", "_salt"]).withColumn(
         "_no", F.explode(pieces(F.col("source_deal_no"), F.col("_lengths")))
     )
-    return expanded.join(contracts, ["tax_id", "_no"])
+    shown = [*exposure.columns, "contract_no", "contract_id", "credit_limit"]
+    return cut.join(usable, ["tax_id", "_no"]).select(*shown)
 
 
 def card_snapshot(daily: DataFrame, contracts: DataFrame, as_of: dt.date) -> DataFrame:

@@ -14,7 +14,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.operators.loading import Loaded, load_with_quarantine, order_total, upsert
+from tallyworks.operators.loading import Loaded, load_with_quarantine, order_total, retype_table, upsert
 from tallyworks.operators.numbering import number_rows
 from tallyworks.sources.storage import freeze
 from tallyworks.sources.stored import TableStore
@@ -83,6 +83,26 @@ def reprice_stored(
     )
 
 
+def retype_stored(
+    store: TableStore, table: str, types: Mapping[str, str], not_null: Sequence[str], job: str,
+    files_per_step: int | None = None,
+) -> int:
+    """Change column types of a table and declare columns NOT NULL, rewriting its files some at a time.
+
+    Nulls and values that do not fit are counted first; any of them stops the job and the table
+    stays as it is. Then the table has its new columns at once: files not yet rewritten are read
+    with casts. From then on a null in a NOT NULL column stops whatever would write it.
+    """
+    if not store.notes(job):
+        wrong = retype_table(store.read(table), types, not_null)[1].where("n > 0").collect()
+        if wrong:
+            raise ValueError(f"{table}: {', '.join(f'{row.problem} ({row.n})' for row in wrong)}")
+        with store.change(job) as change:
+            change.retype(table, types, not_null)
+            change.notes["finished"] = False
+    return store.rewrite_in_steps(table, job, None, lambda rows: rows, files_per_step)
+
+
 def unload_stored(store: TableStore, tables: Sequence[str], batch: DataFrame, key: str, job: str) -> None:
     """Delete the rows whose key is in ``batch`` from all ``tables``, in one commit."""
     if store.notes(job).get("finished"):

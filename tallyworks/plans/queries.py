@@ -876,6 +876,15 @@ def retype_table(r: Roles) -> DataFrame:
     return loading.retype_table(lines, RETYPED, list(RETYPED))[0]
 
 
+@query
+def stored_retype(r: Roles) -> DataFrame:
+    """Columns changed file by file, the job stopped after some of them and started again."""
+    store = new_store(r, lines=(r.table("lineitem").select("l_partkey", *RETYPED), "l_orderkey"))
+    for files_per_step in (3, None):
+        stored_jobs.retype_stored(store, "lines", RETYPED, list(RETYPED), "retype", files_per_step)
+    return store.read("lines")
+
+
 @query
 def retype_violations(r: Roles) -> DataFrame:
     lines = r.table("lineitem").select("l_partkey", "l_returnflag", *RETYPED)

@@ -7,8 +7,10 @@ the lineage is cut and a lost executor cannot change what was written.
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,10 +27,64 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def remote_query(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
-    """Pass-through read: the database runs ``query`` and Spark sees its result."""
+    """Pass-through read: the database runs ``query`` and Spark sees its result, over one connection.
+
+    For results that fit one task; ``remote_ranges`` and ``remote_slices`` read large ones.
+    """
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 
+def remote_ranges(
+    spark: SparkSession, url: str, query: str, column: str, low, high, parts: int, **options: str
+) -> DataFrame:
+    """The same over ``parts`` connections, each with a range of a numeric, date or timestamp column.
+
+    ``low`` and ``high`` only decide where the ranges are cut: rows outside and rows without a
+    value are read too. They come from ``remote_bounds`` or from what is known of the table.
+    """
+    chosen = range_options(url, query, column, low, high, parts)
+    return spark.read.format("jdbc").options(**chosen, **options).load()
+
+
+def range_options(url: str, query: str, column: str, low, high, parts: int) -> dict[str, str]:
+    if parts < 1 or low > high:
+        raise ValueError(f"no ranges from {low} to {high} in {parts} parts")
+    return {
+        "url": url,
+        "dbtable": f"({query}) q",
+        "partitionColumn": column,
+        "lowerBound": str(low),
+        "upperBound": str(high),
+        "numPartitions": str(parts),
+    }
+
+
+def remote_bounds(spark: SparkSession, url: str, query: str, column: str, **options: str) -> tuple:
+    """Lowest and highest value of a column of ``query``, worked out by the database."""
+    bounds = f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM ({query}) q"
+    return tuple(remote_query(spark, url, bounds, **options).first())
+
+
+def remote_slices(
+    spark: SparkSession, url: str, query: str, predicates: Sequence[str], properties: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The same over one connection for each predicate. Together they must choose every row once."""
+    if not predicates:
+        raise ValueError("no predicates: nothing would be read")
+    return spark.read.jdbc(url, f"({query}) q", predicates=list(predicates), properties=dict(properties or {}))
+
+
+def day_predicates(column: str, days: Sequence[dt.date]) -> list[str]:
+    """Predicates that cut a table at ``days`` into half-open ranges: all rows, each once, undated ones first."""
+    cuts = sorted(set(days))
+    if not cuts:
+        return ["1 = 1"]
+    mark = [f"DATE '{day.isoformat()}'" for day in cuts]
+    first = f"{column} < {mark[0]} OR {column} IS NULL"
+    between = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(mark, mark[1:])]
+    return [first, *between, f"{column} >= {mark[-1]}"]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from the session.
 

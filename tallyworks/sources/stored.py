@@ -13,6 +13,10 @@ A job has a name, and its notes are part of the record that its data are in: how
 which folders it has written. So a restarted job goes on where it stopped, and one that has
 finished does nothing, however often it is started.
 
+A table may change its columns' types without being written anew: its files keep the columns they
+were written with, and are read with casts until they are rewritten. Columns declared NOT NULL are
+checked whenever rows are written; a null stops the write.
+
 A record lists all files of a store, as does any reader of a folder of Parquet files.
 """
 
@@ -20,20 +24,29 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyworks.sources.storage import file_system
 
 Rewrite = Callable[[DataFrame], DataFrame]
 
 
+def _schema(entry: dict) -> StructType:
+    return StructType.fromJson(json.loads(entry["schema"]))
+
+
+def _nullable(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, f.dataType) for f in schema])
+
+
 class Conflict(RuntimeError):
     """Another change has taken the version that this one was about to become."""
 
@@ -48,49 +61,62 @@ class Change:
     notes: dict = field(default_factory=dict)
     folders: list[str] = field(default_factory=list)
 
-    def _files(self, table: str) -> list[str]:
-        return self.record["tables"].get(table, {"files": []})["files"]
-
-    def _write(self, table: str, df: DataFrame) -> list[str]:
+    def _write(self, df: DataFrame) -> list[str]:
         folder = uuid.uuid4().hex
         df.write.parquet(f"{self.store.root}/data/{folder}")
         self.folders.append(folder)
-        self.record["tables"].setdefault(table, {"schema": df.schema.json(), "files": []})
         return self.store.list_data(folder)
 
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows. The first rows of a table give it its columns; later ones must have the same."""
-        self.record["tables"][table] = {
-            "schema": self.record["tables"].get(table, {}).get("schema", df.schema.json()),
-            "files": [*self._files(table), *self._write(table, self._fitted(table, df))],
-        }
+        entry = self.record["tables"].setdefault(table, {"schema": _nullable(df.schema).json(), "files": [], "older": []})
+        entry["files"] = [*entry["files"], *self._write(self._fitted(table, df))]
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Give the table other rows and columns. ``df`` may read the table's earlier version."""
-        self.record["tables"][table] = {"schema": df.schema.json(), "files": self._write(table, df)}
+        self.record["tables"][table] = {"schema": _nullable(df.schema).json(), "files": self._write(df), "older": []}
 
     def move(self, source: str, target: str) -> None:
         """Let ``target`` hold the files of ``source``, which is empty from then on. No data move."""
         moved = self.record["tables"][source]
         self.record["tables"][target] = moved
-        self.record["tables"][source] = {"schema": moved["schema"], "files": []}
+        self.record["tables"][source] = {"schema": moved["schema"], "files": [], "older": []}
 
     def rewrite(self, table: str, files: list[str], rewritten: Rewrite) -> None:
         """Put ``rewritten`` rows in the place of those in ``files``."""
-        df = self._fitted(table, rewritten(self.store.read_files(files, self._schema(table))))
-        kept = [name for name in self._files(table) if name not in set(files)]
-        self.record["tables"][table]["files"] = [*kept, *self._write(table, df)]
+        entry, taken = self.record["tables"][table], set(files)
+        written = self._write(self._fitted(table, rewritten(self.store.read_entry(entry, taken))))
+        left = [{**old, "files": [name for name in old["files"] if name not in taken]} for old in entry["older"]]
+        entry["older"] = [old for old in left if old["files"]]
+        entry["files"] = [*[name for name in entry["files"] if name not in taken], *written]
+
+    def retype(self, table: str, types: Mapping[str, str], not_null: Sequence[str] = ()) -> None:
+        """Give columns other types and declare some NOT NULL. The files stay; see ``read_entry``."""
+        entry = self.record["tables"][table]
+        fields = []
+        for f in self._schema(table):
+            kind = StructType.fromDDL(f"x {types[f.name]}")["x"].dataType if f.name in types else f.dataType
+            fields.append(StructField(f.name, kind, f.nullable and f.name not in not_null))
+        if entry["files"]:
+            entry["older"] = [*entry["older"], {"schema": entry["schema"], "files": entry["files"]}]
+        self.record["tables"][table] = {**entry, "schema": StructType(fields).json(), "files": []}
 
     def _schema(self, table: str) -> StructType:
-        return StructType.fromJson(json.loads(self.record["tables"][table]["schema"]))
+        return _schema(self.record["tables"][table])
 
     def _fitted(self, table: str, df: DataFrame) -> DataFrame:
         if table not in self.record["tables"]:
             return df
-        kinds = [(f.name, f.dataType) for f in self._schema(table)]
-        if set(df.columns) != {name for name, _ in kinds}:
-            raise ValueError(f"{table} has the columns {[name for name, _ in kinds]}, not {df.columns}")
-        return df.select(*[F.col(f"`{name}`").cast(kind) for name, kind in kinds])
+        fields = list(self._schema(table))
+        if set(df.columns) != {f.name for f in fields}:
+            raise ValueError(f"{table} has the columns {[f.name for f in fields]}, not {df.columns}")
+        columns = []
+        for f in fields:
+            value = F.col(f"`{f.name}`").cast(f.dataType)
+            if not f.nullable:
+                value = F.coalesce(value, F.raise_error(F.lit(f"{table}.{f.name} must not be null")).cast(f.dataType))
+            columns.append(value.alias(f.name))
+        return df.select(*columns)
 
 
 class TableStore:
@@ -125,13 +151,27 @@ class TableStore:
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         """A table as of a version; later changes do not show in the frame."""
-        entry = self.record(version)["tables"][table]
-        return self.read_files(entry["files"], StructType.fromJson(json.loads(entry["schema"])))
+        return self.read_entry(self.record(version)["tables"][table])
+
+    def read_entry(self, entry: dict, only: set[str] | None = None, with_file: bool = False) -> DataFrame:
+        """The rows of a table's files, or of some: files written under other types are cast to the table's.
 
-    def read_files(self, files: list[str], schema: StructType) -> DataFrame:
-        if not files:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/data/{name}" for name in files])
+        ``with_file`` adds ``_file``, the file that a row is in.
+        """
+        schema = _schema(entry)
+        frames = []
+        for group in [entry, *entry["older"]]:
+            files = [name for name in group["files"] if only is None or name in only]
+            if files:
+                paths = [f"{self.root}/data/{name}" for name in files]
+                df = self.spark.read.schema(_nullable(_schema(group))).parquet(*paths)
+                place = F.array_join(F.slice(F.split(F.col("_metadata.file_path"), "/"), -2, 2), "/")
+                columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]
+                frames.append(df.select(*columns, *([place.alias("_file")] if with_file else [])))
+        if not frames:
+            names = StructType([*_nullable(schema).fields, *([StructField("_file", StringType())] if with_file else [])])
+            return self.spark.createDataFrame([], names)
+        return reduce(DataFrame.unionByName, frames)
 
     def notes(self, job: str) -> dict:
         """What a job has noted in its last commit; nothing if it has none."""
@@ -144,9 +184,7 @@ class TableStore:
 
     def affected(self, table: str, where: Column | None = None, keys: tuple[str, DataFrame] | None = None) -> list[str]:
         """Files with rows for which ``where`` holds, or whose key column has one of ``keys``, in order of name."""
-        rows = self.read(table)
-        place = F.slice(F.split(F.col("_metadata.file_path"), "/"), -2, 2)
-        rows = rows.select("*", F.array_join(place, "/").alias("_file"))
+        rows = self.read_entry(self.record()["tables"][table], with_file=True)
         if where is not None:
             rows = rows.where(where)
         if keys is not None:
@@ -156,10 +194,7 @@ class TableStore:
             if low is None:
                 return []
             rows = rows.where(F.col(column).between(low, high)).join(values.select(column), column, "left_semi")
-        listed = set(self.record()["tables"][table]["files"])
-        if not listed:
-            return []
-        return sorted(row["_file"] for row in rows.select("_file").distinct().collect() if row["_file"] in listed)
+        return sorted(row["_file"] for row in rows.select("_file").distinct().collect())
 
     # --- changing ---------------------------------------------------------------
 
@@ -174,17 +209,22 @@ class TableStore:
         self._commit(change.record)
 
     def rewrite_in_steps(
-        self, table: str, job: str, where: Column, rewritten: Rewrite, files_per_step: int | None = None, **notes
+        self, table: str, job: str, where: Column | None, rewritten: Rewrite, files_per_step: int | None = None, **notes
     ) -> int:
         """Rewrite the files with rows for which ``where`` holds, some at a time, each file once per job.
 
+        Without ``where`` they are the files still kept under other types.
+
         Each step commits its files together with the job's notes. Returns the steps taken now:
         none where the job has finished before.
         """
         if self.notes(job).get("finished"):
             return 0
         wrote = set(self.notes(job).get("wrote", []))
-        files = [name for name in self.affected(table, where) if name.split("/")[0] not in wrote]
+        if where is None:
+            files = sorted(name for old in self.record()["tables"][table]["older"] for name in old["files"])
+        else:
+            files = [name for name in self.affected(table, where) if name.split("/")[0] not in wrote]
         size = files_per_step or max(len(files), 1)
         steps = [files[at : at + size] for at in range(0, len(files), size)]
         for number, some in enumerate(steps or [[]]):
@@ -232,7 +272,8 @@ class TableStore:
             name.split("/")[0]
             for version in versions[-keep_versions:]
             for entry in self.record(version)["tables"].values()
-            for name in entry["files"]
+            for group in [entry, *entry["older"]]
+            for name in group["files"]
         }
         target, system = file_system(self.spark, f"{self.root}/data")
         removed = 0

@@ -115,6 +115,32 @@ def test_key_ranges_equal_the_walk(spark, rows, seed):
     assert as_set(got) == walk(keys, size)
 
 
+@pytest.mark.parametrize(("size", "chunk_keys", "fanout"), [(500, 7, 2), (90, 1, 3), (10_000, 5, 2), (1, 4, 1024)])
+def test_batches_larger_than_chunks(rows, size, chunk_keys, fanout):
+    chance = random.Random(size)
+    keys = [chance.randrange(400) for _ in range(3000)]
+    df = rows("k string", *[(f"{k:03d}",) for k in keys])
+    got = key_ranges.key_range_batches(df, "k", size, chunk_keys=chunk_keys, fanout=fanout, budget=2 * size)
+    assert as_set(got) == walk([f"{k:03d}" for k in keys], size)
+
+
+def test_composed_steps_equal_the_steps_in_turn():
+    for seed in range(300):
+        chance = random.Random(seed)
+        size = chance.choice([1, 3, 17, 60])
+        chunks = [[chance.randrange(1, 25) for _ in range(chance.choice([1, 2, 9, 30]))] for _ in range(4)]
+        steps = [key_ranges._Step(*key_ranges._function(np.array(c), size)) for c in chunks]
+        whole = steps[0].then(steps[1]).then(steps[2].then(steps[3]))
+        for start in range(size):
+            at = start
+            for chunk, step in zip(chunks, steps):
+                passed = int(step(at))
+                for n in chunk:
+                    at = at + n if at + n < size else 0
+                assert passed == at
+            assert int(whole(start)) == at
+
+
 def test_key_ranges_without_rows(rows):
     assert key_ranges.key_range_batches(rows("k int"), "k", 5).collect() == []
     assert key_ranges.fixed_stride_batches(rows("k int"), "k", 5).collect() == []
@@ -249,6 +275,28 @@ def test_copy_restarts_without_loss_or_repeats(spark, rows):
     assert as_set(copy_jobs.resumable_copy(source, root, "k")) == as_set(source)
 
 
+def test_rows_without_a_key_are_copied_once(spark, rows):
+    source = rows("k int, v string", *[(k, str(k)) for k in range(6)], (None, "a"), (None, "b"))
+    root = scratch_path(spark, "copy")
+    part = copy_jobs.resumable_copy(source.where("k < 3 OR k IS NULL"), root, "k")
+    assert part.count() == 5
+    for _ in range(2):
+        copied = copy_jobs.resumable_copy(source, root, "k")
+        assert sorted(map(tuple, copied.collect()), key=repr) == sorted(map(tuple, source.collect()), key=repr)
+    alone = scratch_path(spark, "copy")
+    for _ in range(2):
+        assert copy_jobs.resumable_copy(source.where("k IS NULL"), alone, "k").count() == 2
+
+
+def test_rows_without_a_key_get_the_price_change_once(spark, rows):
+    source = rows("k int, p decimal(14,4)", *[(k, D(10)) for k in (1, 2, 3, None, None)])
+    change = ("k", "p", D("1.2"), scratch_path(spark, "reprice"), "rise")
+    part = copy_jobs.reprice_once(source, *change, upto=1)
+    assert as_set(part.groupBy("p").count()) == [(D("10.0000"), 2), (D("12.0000"), 3)]
+    for _ in range(2):
+        assert as_set(copy_jobs.reprice_once(source, *change).groupBy("p").count()) == [(D("12.0000"), 5)]
+
+
 def test_price_changes_once_however_often_restarted(spark, rows):
     source = rows("k int, p decimal(14,4)", *[(k // 2, D(10)) for k in range(20)])
     root = scratch_path(spark, "reprice")
@@ -320,6 +368,12 @@ def test_one_bad_line_rejects_the_whole_order(rows):
     ]
 
 
+def test_an_order_without_a_key_is_rejected(rows):
+    good = load(rows, [(None, 1, "1"), (None, 1, "x"), (1, 1, "1")], [(None, 1), (1, 1)])
+    assert as_set(good.headers) == [(1, 1, "1")] and as_set(good.details) == [(1, 1)]
+    assert [tuple(r) for r in good.rejects.collect()] == [(None, "bad amount; duplicate order; no order key")]
+
+
 def test_loading_then_unloading_gives_the_old_table(rows):
     good = load(rows, [(1, 1, "1")], [(1, 1)])
     target = rows("order_id int", (8,)).unionByName(good.headers.select("order_id"))

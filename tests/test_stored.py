@@ -202,6 +202,56 @@ def test_merge_rewrites_only_files_with_its_keys(store, spark, monkeypatch, rows
     assert len(before & set(store.record()["tables"]["t"]["files"])) == 3
 
 
+# --- columns ----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("commits", [0, 1, 2])
+def test_retyping_part_by_part(store, spark, monkeypatch, commits):
+    rows = spark.range(0, 40, 1, 4).select(F.col("id").cast("int").alias("k"), F.col("id").cast("string").alias("v"))
+    stored_jobs.store_table(store, "t", rows)
+
+    def job():
+        return stored_jobs.retype_stored(store, "t", {"k": "bigint", "v": "decimal(10,2)"}, ["v"], "retype", files_per_step=1)
+
+    with monkeypatch.context() as patch:
+        stop_after(patch, commits)
+        with pytest.raises(Stopped):
+            job()
+    # the columns are the new ones as soon as the first commit is made, wherever the files stand
+    changed = [("k", "bigint"), ("v", "decimal(10,2)")] if commits else [("k", "int"), ("v", "string")]
+    assert store.read("t").dtypes == changed and store.read("t").count() == 40
+    if commits:
+        with store.change("more") as change:
+            change.append("t", spark.range(40, 42).selectExpr("id AS k", "id AS v"))
+        stored_jobs.purge_stored(store, "t", "k", 1, "purge")
+    job()
+    entry = store.record()["tables"]["t"]
+    assert not entry["older"] and store.read("t").dtypes == [("k", "bigint"), ("v", "decimal(10,2)")]
+    assert as_set(store.read("t")) == [(k, D(k)) for k in (range(1, 42) if commits else range(40))]
+    assert job() == 0
+
+
+def test_a_null_or_a_value_that_does_not_fit_stops_the_change(store, rows):
+    stored_jobs.store_table(store, "t", rows("k int, v string", (1, "x"), (2, None)))
+    for types, not_null, problem in (({"v": "int"}, [], "v: does not fit"), ({}, ["v"], "v: is null")):
+        with pytest.raises(ValueError, match=problem):
+            stored_jobs.retype_stored(store, "t", types, not_null, "retype")
+    assert store.read("t").dtypes == [("k", "int"), ("v", "string")] and store.versions() == [1]
+
+
+def test_a_null_stops_the_write_once_declared(store, rows):
+    stored_jobs.store_table(store, "t", rows("k int, v string", (1, "x")))
+    stored_jobs.retype_stored(store, "t", {}, ["v"], "retype")
+    with pytest.raises(Exception, match="t.v must not be null"), store.change("more") as change:
+        change.append("t", rows("k int, v string", (2, "y"), (3, None)))
+    assert as_set(store.read("t")) == [(1, "x")]
+    with pytest.raises(Exception, match="must not be null"):
+        stored_jobs.fill_stored(store, "t", "k", "v", F.lit(None).cast("string"), "fill", resume=False)
+    with store.change("more") as change:
+        change.append("t", rows("k int, v string", (2, "y")))
+    assert as_set(store.read("t")) == [(1, "x"), (2, "y")]
+
+
 # --- loads ----------------------------------------------------------------------
 
 

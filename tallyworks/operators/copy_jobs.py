@@ -10,8 +10,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from decimal import Decimal
+from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.sources.storage import has_data, list_folders
@@ -37,9 +38,37 @@ def read_runs(spark: SparkSession, root: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(*paths)
 
 
-def write_run(df: DataFrame, root: str) -> None:
+class Reached(NamedTuple):
+    """How far the committed runs have come: their rows, and their highest key."""
+
+    rows: int
+    key: Any
+
+    def with_run(self, run: Reached) -> Reached:
+        keys = [key for key in (self.key, run.key) if key is not None]
+        return Reached(self.rows + run.rows, max(keys) if keys else None)
+
+    def rest(self, source: DataFrame, key: str) -> DataFrame:
+        """Rows of ``source`` above the highest key; those without a key only before the first run."""
+        if not self.rows:
+            return source
+        return source.where(F.col(key).isNotNull() if self.key is None else F.col(key) > self.key)
+
+
+def reached(spark: SparkSession, root: str, schema, key: str) -> Reached:
+    if not finished_runs(spark, root):
+        return Reached(0, None)
+    return Reached(*read_runs(spark, root, schema).agg(F.count(F.lit(1)), F.max(key)).first())
+
+
+def write_run(df: DataFrame, root: str, key: str) -> Reached:
+    """Write one run; its rows are counted on the way."""
     ordinal = len(list_folders(df.sparkSession, root))
-    df.write.parquet(f"{root}/run-{ordinal:06d}-{uuid.uuid4().hex[:8]}")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(key).alias("key")).write.parquet(
+        f"{root}/run-{ordinal:06d}-{uuid.uuid4().hex[:8]}"
+    )
+    return Reached(seen.get["rows"], seen.get["key"])
 
 
 def resumable_copy(source: DataFrame, root: str, key: str) -> DataFrame:
@@ -48,20 +77,10 @@ def resumable_copy(source: DataFrame, root: str, key: str) -> DataFrame:
     Rows without a key have no place in the order: they are copied with the first run.
     """
     spark = source.sparkSession
-    copied = read_runs(spark, root, source.schema)
-    rest = _after(source, key, copied)
-    write_run(rest, root)
+    write_run(reached(spark, root, source.schema, key).rest(source, key), root, key)
     return read_runs(spark, root, source.schema)
 
 
-def _after(source: DataFrame, key: str, done: DataFrame) -> DataFrame:
-    """Rows of ``source`` above the highest key of ``done``; those without a key until ``done`` has rows."""
-    rows, last = done.agg(F.count(F.lit(1)), F.max(key)).first()
-    if not rows:
-        return source
-    return source.where(F.col(key).isNotNull() if last is None else F.col(key) > last)
-
-
 def purge_before(df: DataFrame, date_col: str, cutoff) -> DataFrame:
     """What is left after deleting rows dated before ``cutoff``; undated rows stay."""
     day = F.col(date_col)
@@ -95,9 +114,9 @@ def reprice_once(
     spark = source.sparkSession
     folder = f"{root}/job={job}"
     kind = source.schema[col].dataType.simpleString()
-    todo = _after(source, key, read_runs(spark, folder, source.schema))
+    before = reached(spark, folder, source.schema, key)
+    todo = before.rest(source, key)
     if upto is not None:
         todo = todo.where((F.col(key) <= upto) | F.col(key).isNull())
-    write_run(todo.withColumn(col, (F.col(col) * F.lit(factor)).cast(kind)), folder)
-    done = read_runs(spark, folder, source.schema)
-    return done.unionByName(_after(source, key, done))
+    now = before.with_run(write_run(todo.withColumn(col, (F.col(col) * F.lit(factor)).cast(kind)), folder, key))
+    return read_runs(spark, folder, source.schema).unionByName(now.rest(source, key))

@@ -74,8 +74,7 @@ def load_with_quarantine(
     errors = [
         named(repeated, "duplicate order"),
         named(loaded, "already loaded"),
-        named(headers.where(F.col(key).isNull()), "no order key"),
-        *broken(headers, header_rules),
+        *broken(headers, {**header_rules, "no order key": F.col(key).isNull()}),
         *broken(details.join(headers.select(key), key, "left_semi"), detail_rules),
         *dangling(headers, header_refs),
         *dangling(details.join(headers.select(key), key, "left_semi"), detail_refs),

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.dates import month_boundaries
@@ -90,7 +90,7 @@ def deals_without_schedule(
     deals: DataFrame,
     paid: DataFrame,
     balances: DataFrame,
-    snapshot_date: dt.date,
+    snapshot_date: dt.date | Column,
 ) -> DataFrame:
     """Open deals with a balance and no scheduled payment, with rate and remaining months."""
     owed = F.col("principal") + F.col("past_principal") + F.col("interest") + F.col("past_interest")

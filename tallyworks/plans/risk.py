@@ -6,14 +6,14 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.dates import month_start, months_before, previous_month_end
 from tallyworks.operators import classes, exposure, income, payments
 from tallyworks.operators.gate import gate_outcome
 from tallyworks.sources.sinks import publish_rows, read_publication, replace_rows
-from tallyworks.sources.storage import freeze
+from tallyworks.sources.storage import freeze, frozen_job
 
 
 @dataclass(frozen=True)
@@ -85,9 +85,10 @@ class RiskReport:
         linked = local.join(src.deals.select("deal_no", "deal_id"), "deal_no", "left")
         return payments.deal_payment_max(linked)
 
-    def snapshot_date(self) -> dt.date:
+    def snapshot_date(self) -> Column:
+        """As a value that the plan itself looks up."""
         before = self.sources.balances.where(F.col("report_date") < F.lit(month_start(self.as_of)))
-        return before.agg(F.max("report_date")).first()[0]
+        return before.agg(F.max("report_date")).scalar()
 
     def payments(self) -> DataFrame:
         src = self.sources
@@ -121,7 +122,9 @@ def run_scoring(
     outcome = gate_outcome(checks).first()["outcome"]
     if outcome != "run":
         return outcome
-    publish_rows(report.report(), report_path, report.as_of)
-    published = read_publication(checks.sparkSession, report_path, report.as_of)
-    replace_rows(classes.numbered_publication(published), export_path)
+    spark = checks.sparkSession
+    with frozen_job(spark):
+        publish_rows(report.report(), report_path, report.as_of)
+        published = read_publication(spark, report_path, report.as_of)
+        replace_rows(classes.numbered_publication(published), export_path)
     return outcome

@@ -10,7 +10,9 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,7 @@ from tallyworks.sources.shipping import ship
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 _FROZEN: list[str] = []
+_JOB: ContextVar[list[str] | None] = ContextVar("frozen_by_job", default=None)
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -111,15 +114,35 @@ def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    _FROZEN.append(path)
+    own = _JOB.get()
+    (_FROZEN if own is None else own).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def frozen_job(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables frozen inside the block at its end, and no others.
+
+    For jobs that have written their results by then: frames made inside must not be read afterwards.
+    """
+    mine: list[str] = []
+    outer = _JOB.set(mine)
+    try:
+        yield
+    finally:
+        _JOB.reset(outer)
+        _drop(spark, mine)
+
+
 def drop_frozen(spark: SparkSession) -> int:
-    """Delete the tables ``freeze`` wrote in this process; for when their results are used up."""
+    """Delete the tables that ``freeze`` wrote in this process outside of any job; for when their results are used up."""
+    return _drop(spark, _FROZEN)
+
+
+def _drop(spark: SparkSession, paths: list[str]) -> int:
     dropped = 0
-    while _FROZEN:
-        target, system = file_system(spark, _FROZEN.pop())
+    while paths:
+        target, system = file_system(spark, paths.pop())
         dropped += system.delete(target, True)
     return dropped
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -15,8 +17,12 @@ TABLES = (
 
 
 def session(cores: int = 8) -> SparkSession:
+    # one local session: a folder of its own will do
+    shared = tempfile.TemporaryDirectory(prefix="comparing-")
+    atexit.register(shared.cleanup)
     return (
         SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.checkpoint.dir", shared.name)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from conftest import as_set
 from pyspark.sql import functions as F
 
@@ -24,7 +25,10 @@ def test_scoring_run_publishes_and_exports_once_a_month(spark, rows):
         target = rows("input_date date", (loaded_on,))
         return readiness_gate(roles.ledger_all, roles.portfolio, target, published, AS_OF)
 
+    frozen = set(storage.list_folders(spark, storage.shared_folder(spark)))
     assert run_scoring(risk_report(roles), checks(before), report_path, export_path) == "run"
+    left = set(storage.list_folders(spark, storage.shared_folder(spark))) - frozen
+    assert {path.rsplit("/", 1)[1].split("-")[0] for path in left} == {"report", "export"}
     report, export = spark.read.parquet(report_path), spark.read.parquet(export_path)
     assert report.count() == export.count() > 0
     assert [r["rn"] for r in export.orderBy(F.col("client_id").desc()).collect()] == list(
@@ -33,6 +37,20 @@ def test_scoring_run_publishes_and_exports_once_a_month(spark, rows):
     again = run_scoring(risk_report(roles), checks(AS_OF), report_path, export_path)
     assert again == "already done"
     assert spark.read.parquet(report_path).count() == report.count()
+    # stopped after publishing and started again: the month is published once
+    n = report.count()
+    assert run_scoring(risk_report(roles), checks(before), report_path, export_path) == "run"
+    assert spark.read.parquet(report_path).count() == n
+
+
+def test_a_job_drops_only_its_own_tables(spark):
+    outside = storage.freeze(spark.range(2))
+    with storage.frozen_job(spark):
+        inner = storage.freeze(spark.range(3))
+        assert inner.count() == 3
+    assert outside.count() == 2
+    with pytest.raises(Exception, match="(?i)not.*exist|does not exist|FILE_NOT_EXIST"):
+        spark.read.schema(inner.schema).parquet(*inner.inputFiles()).count()
 
 
 def test_replace_and_partitioned_append(spark, rows):

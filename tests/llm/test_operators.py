@@ -53,6 +53,29 @@ def taken(df, *cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
+@pytest.mark.parametrize("size", [300, 399, 400, 401, 800])
+def test_planted_passages_go_from_400_bytes_on(spark, size):
+    """Passages that several documents share are removed whole if they are long enough; clean documents stay."""
+    rng = random.Random(size)
+
+    def prose(n):
+        return "".join(rng.choice("abcdefghijklmnop é") for _ in range(n))
+
+    passage = prose(3 * size).encode()[:size].decode(errors="ignore")
+    passage += "x" * (size - len(passage.encode()))
+    rows = [(i, prose(500) + passage + prose(rng.randrange(1, 500))) for i in range(6)]
+    rows += [(100 + i, prose(900)) for i in range(6)]
+    got = taken(
+        remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")),
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
+    )
+    assert got == sorted(brute.removed_repeats(rows))
+    removed = {doc_id: n for doc_id, _, n, _, _ in got}
+    # bytes beside a passage may agree by chance and then belong to it
+    assert all((size if size >= 400 else 0) <= removed[i] <= size + 4 for i in range(6) if size != 399)
+    assert all(removed[100 + i] == 0 for i in range(6))
+
+
 def test_repeats_go(docs, texts):
     got = taken(remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got == sorted(brute.removed_repeats(texts))

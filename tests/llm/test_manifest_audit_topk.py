@@ -187,6 +187,26 @@ def test_products_beyond_exact_doubles(spark):
     assert max(abs(row[3]) for row in got) > 2**53
 
 
+@pytest.mark.parametrize("settings", [pivot_topk.TopKSettings(), SMALL], ids=["usual", "small"])
+def test_long_vectors_are_candidates(spark, settings):
+    """Every pair whose score fits in 64 bits counts, however long its vectors are."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(300)]
+    rows += [(1000 + i, (10.0**e * rng.normal(size=8)).tolist()) for i, e in enumerate([7, 7, 9, 12, 15, 18, 30, 200])]
+    rows += [(1050, [1e12] + [0.0] * 7), (1100, [0.0] * 8), (1150, [1e30, -1e30] + [0.0] * 6), (1151, [1.0, 1.0] + [0.0] * 6)]
+    rows += [(1200, [2.0**51, 2.0**51, 1.0] + [0.0] * 5), (1201, [2.0**51, -(2.0**51), 2.0] + [0.0] * 5)]  # all but cancel
+    rows += [(1250, [1e9]), (1251, [-1e3]), (1300, [1e300] * 8), (1301, [1e308] * 8)]  # 256 * 1e308 is not finite
+    wanted = []
+    usable = [(i, v, [math.floor(256 * c) for c in x]) for i, (v, x) in enumerate(rows) if max(map(abs, x)) < 1e308]
+    for i, v, x in usable:
+        if v % 50 == 0:
+            scored = [(-sum(map(int.__mul__, x, y)), w) for j, w, y in usable if j != i and len(x) == len(y)]
+            scored = sorted((s, w) for s, w in scored if -(2**63) < s <= 2**63)
+            wanted += [(v, rank, w, -s) for rank, (s, w) in enumerate(scored[:5], 1)]
+    assert search(spark, rows, settings, "vec_id long, embedding array<double>") == sorted(wanted, key=repr)
+    assert {row[2] for row in wanted} >= {1002, 1003, 1050}
+
+
 def test_fewer_candidates_than_asked_for(spark):
     assert search(spark, [(0, [1.0]), (50, [2.0])]) == [(0, 1, 50, 131072), (50, 1, 0, 131072)]
     assert search(spark, [(0, [1.0])]) == []

@@ -9,6 +9,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyworks.sources.storage import freeze
+
 
 def order_total(
     headers: DataFrame, details: DataFrame, key: str = "order_id", null_as_zero: bool = True
@@ -48,6 +50,8 @@ def load_with_quarantine(
     table column) of values that must exist. A key that occurs twice, or is
     already loaded, is an error too, and so is a missing key. One bad line rejects
     its order. An order without lines is in none of the results, as there is nothing to load.
+
+    What is found about each order of the import is stored once, for all three results.
     """
 
     def broken(df: DataFrame, rules: Mapping[str, Column]) -> list[DataFrame]:
@@ -66,29 +70,35 @@ def load_with_quarantine(
                 .select(key, F.lit(message).alias("error"))
             )
 
-    def named(keys: DataFrame, message: str) -> DataFrame:
-        return keys.select(key, F.lit(message).alias("error"))
-
-    repeated = headers.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    loaded = headers.select(key).join(target_keys.select(key), key, "left_semi")
+    # lines and loaded orders without a key belong to no order; those of other orders go with their groups
+    keyed = details.where(F.col(key).isNotNull())
     errors = [
-        named(repeated, "duplicate order"),
-        named(loaded, "already loaded"),
+        target_keys.where(F.col(key).isNotNull()).select(key, F.lit("already loaded").alias("error")),
         *broken(headers, {**header_rules, "no order key": F.col(key).isNull()}),
-        *broken(details.join(headers.select(key), key, "left_semi"), detail_rules),
+        *broken(keyed, detail_rules),
         *dangling(headers, header_refs),
-        *dangling(details.join(headers.select(key), key, "left_semi"), detail_refs),
+        *dangling(keyed, detail_refs),
     ]
+    once = headers.select(key, F.lit(None).cast("string").alias("error"), F.lit(1).alias("_header"))
+    found = [df.select(key, "error", F.lit(0).alias("_header")) for df in errors]
+    repeated = F.when(F.sum("_header") > 1, F.array(F.lit("duplicate order"))).otherwise(F.array().cast("array<string>"))
     # the set of messages per order is bounded by the number of rules
-    rejects = (
-        reduce(DataFrame.unionByName, errors)
+    messages = F.sort_array(F.concat(F.collect_set("error"), repeated))
+    orders = (
+        reduce(DataFrame.unionByName, [once, *found])
         .groupBy(key)
-        .agg(F.array_join(F.sort_array(F.collect_set("error")), "; ").alias("errors"))
+        .agg(
+            F.sum("_header").alias("_headers"),
+            F.when(F.size(messages) > 0, F.array_join(messages, "; ")).alias("errors"),
+        )
+        .where("_headers > 0")
+        .drop("_headers")
     )
-    bad = rejects.select(key)
-    good_headers = headers.join(bad, key, "left_anti")
-    good_details = details.join(good_headers.select(key), key, "left_semi")
-    return Loaded(good_headers.join(details.select(key), key, "left_semi"), good_details, rejects)
+    orders = freeze(orders, "import-orders")
+    good_details = details.join(orders.where("errors IS NULL").select(key), key, "left_semi")
+    # lines are left of good orders only
+    good_headers = headers.join(good_details.select(key), key, "left_semi")
+    return Loaded(good_headers, good_details, orders.where("errors IS NOT NULL"))
 
 
 def unload_batch(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:

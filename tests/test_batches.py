@@ -374,6 +374,20 @@ def test_an_order_without_a_key_is_rejected(rows):
     assert [tuple(r) for r in good.rejects.collect()] == [(None, "bad amount; duplicate order; no order key")]
 
 
+def test_orders_are_checked_once_for_all_results(rows):
+    """Messages of either side, null keys and keys of one side only; no result checks the import anew."""
+    headers = [(1, 1, "1"), (2, 1, "x"), (2, 1, "1"), (9, 1, "1"), (9, 1, "1"), (5, None, "1"), (6, 1, "1")]
+    details = [(1, 1), (2, 5), (5, 1), (5, 1), (8, 7), (8, None), (None, 5), (9, 1)]
+    good = load(rows, headers, details)
+    assert sorted(map(tuple, good.headers.collect()), key=repr) == [(1, 1, "1"), (5, None, "1")]
+    assert as_set(good.details) == [(1, 1), (5, 1), (5, 1)]
+    assert as_set(good.rejects) == [
+        (2, "bad amount; duplicate order; unknown part"), (9, "already loaded; duplicate order"),
+    ]
+    for df in good:
+        assert "LeftAnti" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_loading_then_unloading_gives_the_old_table(rows):
     good = load(rows, [(1, 1, "1")], [(1, 1)])
     target = rows("order_id int", (8,)).unionByName(good.headers.select("order_id"))

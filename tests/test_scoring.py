@@ -282,3 +282,16 @@ def test_gate_order_and_empty_target(rows):
     wrong = rows("report_date date", (as_of,))
     with pytest.raises(Exception, match="expected 2000-12-31"):
         gate.assert_snapshot_date(wrong, "report_date", as_of).collect()
+
+
+def test_substrings_of_no_contract_are_dropped_before_the_join(rows):
+    """Clients with one number and with many; the plan tests marks before it sends the pieces."""
+    numbers = [("a", 1, "777")] + [("b", 100 + i, f"{i:03d}") for i in range(150)]
+    deals = [("a", i, f"{i:05d}") for i in range(76_900, 77_900, 7)] + [("b", i, f"x{i}x") for i in range(0, 400, 3)]
+    got = exposure.contract_text_match(
+        rows("tax_id string, deal_id int, source_deal_no string", *deals),
+        rows("tax_id string, contract_id int, contract_no string, credit_limit int", *[(*n, 1) for n in numbers]),
+    )
+    wanted = sorted({(d, c) for t, d, text in deals for u, c, no in numbers if t == u and no in text})
+    assert sorted({(r.deal_id, r.contract_id) for r in got.collect()}) == wanted and len(wanted) > 20
+    assert "_marks" in got._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]

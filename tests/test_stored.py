@@ -335,6 +335,22 @@ def test_export_with_missing_rows_keeps_the_old_one(store, spark, monkeypatch):
     assert store.read("export").count() == 7
 
 
+def test_export_steps_read_their_own_rows(store, spark, monkeypatch):
+    """Each step's filter is a range of numbers that Parquet's statistics can cut short."""
+    append, plans = stored.Change.append, []
+
+    def noted(self, table, df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return append(self, table, df)
+
+    monkeypatch.setattr(stored.Change, "append", noted)
+    stored_jobs.export_in_slices(store, "export", spark.range(25), ["id"], "first", 4, slices_per_step=2)
+    assert as_set(store.read("export")) == [(n, n + 1) for n in range(25)]
+    assert len(plans) == 4
+    for step, plan in enumerate(plans):
+        assert f"GreaterThanOrEqual(rn,{8 * step})" in plan and f"LessThanOrEqual(rn,{8 * step + 7})" in plan
+
+
 def test_export_of_no_rows(store, spark):
     stored_jobs.export_in_slices(store, "export", spark.range(3), ["id"], "first", 3)
     assert stored_jobs.export_in_slices(store, "export", spark.range(0), ["id"], "second", 3).collect() == []

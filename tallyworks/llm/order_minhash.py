@@ -9,6 +9,7 @@ bins with equal signs, which falls with insertions, deletions and moved passages
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -91,14 +92,17 @@ def likeness(first: Column, second: Column) -> Column:
     return F.when(used == 0, 1.0).otherwise(F.size(F.array_intersect(first, second)) / used)
 
 
-def with_next(docs: DataFrame, columns: list[str], buckets: int) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], buckets: int, derived: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Add next_<column> of the document after each in descending doc_id order (the last one's is the first).
 
+    ``docs`` has doc_id and text; ``derived`` adds further columns. It is worked out once for
+    each row, and again only for the one row that a range's neighbour needs.
+
     The ids are dealt into ``buckets`` ranges of about equal size and each range is ordered on
     its own; the first row of each range, one row a range, goes to the end of the range before it.
-    A null doc_id comes last, equal ids in the order of their rows' hashes. ``docs`` is read twice.
+    A null doc_id comes last, equal ids in the order of their rows' hashes. ``docs`` is read more than once.
     """
-    tie = F.xxhash64("doc_id", columns[0])
+    tie = F.xxhash64("doc_id", "text")
     shares = [k / buckets for k in range(1, buckets)]
     bounds = docs.select(F.percentile_approx("doc_id", shares, 100 * buckets)).first()[0] if shares else []
     bounds = sorted(set(bounds or []))
@@ -107,7 +111,7 @@ def with_next(docs: DataFrame, columns: list[str], buckets: int) -> DataFrame:
     placed = docs.withColumn("_bucket", bucket).withColumn("_tie", tie)
     order = [F.col("doc_id").desc_nulls_last(), F.col("_tie").desc()]
     window = Window.partitionBy("_bucket").orderBy(*order)
-    inside = placed.select(
+    inside = derived(placed).select(
         "*", *[F.lead(c).over(window).alias(f"_in_{c}") for c in columns], F.lead(F.lit(True)).over(window).alias("_more")
     )
     # one row a bucket: its first row, and by way of the bucket above which row needs it
@@ -119,18 +123,19 @@ def with_next(docs: DataFrame, columns: list[str], buckets: int) -> DataFrame:
         F.col("_top.doc_id").alias("_id"),
         F.col("_top._tie").alias("_id_tie"),
     )
-    # at most ``buckets`` rows
-    firsts = (
-        placed.select("doc_id", "_tie", *columns)
+    # at most ``buckets`` rows, found before anything is derived
+    found = (
+        placed.select("doc_id", "_tie", "text")
         .join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_id_tie")))
-        .select("_for", F.struct(*columns).alias("_first"))
+        .select("_for", "text")
         .dropDuplicates(["_for"])
     )
+    firsts = derived(found).select("_for", F.struct(*columns).alias("_first"))
     # the key is set for the last row of a bucket only, all others have one of their own
     key = F.when(F.col("_more").isNull(), F.col("_bucket").cast("long")).otherwise(-1 - F.abs(F.xxhash64("doc_id", "_tie") % (1 << 40)))
     joined = inside.withColumn("_for", key).join(F.broadcast(firsts), "_for", "left")
     picked = [F.when(F.col("_more"), F.col(f"_in_{c}")).otherwise(F.col(f"_first.{c}")).alias(f"next_{c}") for c in columns]
-    return joined.select(*docs.columns, *picked)
+    return joined.select(*docs.columns, *[c for c in columns if c not in docs.columns], *picked)
 
 
 def fingerprint_documents(docs: DataFrame, buckets: int, settings: OrderSettings = OrderSettings()) -> DataFrame:
@@ -142,7 +147,7 @@ def fingerprint_documents(docs: DataFrame, buckets: int, settings: OrderSettings
     its own next, and no rows give no rows. Other columns are not read.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    paired = with_next(with_signs(rows, "text", "signs", settings), ["text", "signs"], buckets)
+    paired = with_next(rows, ["text", "signs"], buckets, lambda df: with_signs(df, "text", "signs", settings))
     n = F.length("text")
     tail = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - tail), F.substring("next_text", F.lit(1), tail))

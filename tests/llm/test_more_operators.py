@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyworks.llm import order_minhash
 from tallyworks.llm.order_minhash import fingerprint_documents
 from tallyworks.llm.packing import pack_documents
 from tallyworks.llm.passage_quality import fit_quality, score_quality
@@ -152,6 +153,25 @@ def test_edited_texts_and_fingerprints(docs):
     assert got[1].fingerprint == got[2].fingerprint == ""
 
 
+def test_signs_are_worked_out_once_a_text(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    plain = order_minhash.with_signs
+
+    def count(text):
+        seen.add(1)
+        return text
+
+    def counting(df, text, name, *settings):
+        counted = F.udf(count, "string").asNondeterministic()
+        return plain(df.withColumn(text, counted(text)), text, name, *settings)
+
+    monkeypatch.setattr(order_minhash, "with_signs", counting)
+    rows = [(k, f"{k} some words {k * k} of a text {k % 7}") for k in range(60)]
+    assert len(fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()) == 60
+    # texts, edited texts, and the first text of each range
+    assert 120 <= seen.value <= 124
+
+
 def test_shortage_goes_to_siblings_first(spark):
     sizes = {("x", "a"): 20, ("x", "b"): 200, ("y", "c"): 200}
     rows, number = [], 0

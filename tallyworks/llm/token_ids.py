@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _WORDS_A_TEXT = 40
+_SPACE = "\u0120"  # what byte-level tokens have for a space
 _LOADED: dict[str, WordMemory] = {}
 #: A space that may not begin a word: at the end, or before anything but letters, marks, numbers and signs.
 _ODD_SPACE = r" (?:[^\pL\pM\pN\pP\pS]|$)"
@@ -26,9 +27,9 @@ class WordMemory:
     non-space follows and never joins across, so a text's ids are those of its words, each with
     the space in front of it. Any other kind of tokenizer is given whole texts.
 
-    New words go to the tokenizer many at a time, as one text, and its offsets tell which ids
-    are whose. Of the words known, the ``limit`` newest at least are kept. ``ids`` are
-    little-endian 32-bit values.
+    New words go to the tokenizer many at a time, as one text. Each word's first id is one that
+    begins with a space; where other ids do too, the tokenizer's offsets tell which are whose. Of
+    the words known, the ``limit`` newest at least are kept. ``ids`` are little-endian 32-bit values.
     """
 
     def __init__(self, path: str, limit: int = 800_000):
@@ -39,6 +40,9 @@ class WordMemory:
         with open(path, encoding="utf-8") as file:
             kind = json.load(file)
         self._by_word = _cut_at_spaces(kind)
+        vocabulary = self._tokenizer.get_vocab()
+        self._spaced = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        self._spaced[[code for token, code in vocabulary.items() if token.startswith(_SPACE)]] = True
         self._limit = limit
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
@@ -88,12 +92,12 @@ class WordMemory:
         first[cuts[:-1]] = True
         begins = flat.filter(pa.array(first)).dictionary_encode()
         others = flat.filter(pa.array(~first)).dictionary_encode()
-        words = [" " + word for word in others.dictionary.to_pylist()]
-        codes = self._codes(words + begins.dictionary.to_pylist())
+        words = [" " + word for word in _strings(others.dictionary)]
+        codes = self._codes(words + _strings(begins.dictionary))
         place = np.empty(len(flat), np.int64)
         place[~first] = others.indices.to_numpy()
         place[first] = begins.indices.to_numpy() + len(words)
-        sizes = np.array([len(code) // 4 for code in codes], np.int64)
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
         starts = np.cumsum(sizes) - sizes
         lengths = sizes[place]
         ends = np.cumsum(lengths)
@@ -133,16 +137,31 @@ class WordMemory:
         rest = [word for word in words if word[0] == " "] if first else words
         # long texts cost the tokenizer more a word than texts of some words
         texts = ["".join(rest[at : at + _WORDS_A_TEXT]) for at in range(0, len(rest), _WORDS_A_TEXT)]
+        codes = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        own = [code.ids for code in codes]
+        ids = np.fromiter(chain.from_iterable(own), "<u4", sum(map(len, own)))
+        cuts = np.flatnonzero(self._spaced[ids])
+        # a word begins with a space, so it has one such id at least: as many as words are one each
+        if len(cuts) == len(rest):
+            cuts = np.append(cuts[1:], len(ids))
+        else:
+            cuts = self._cuts(texts, rest)
+        data, cuts = ids.tobytes(), (4 * cuts).tolist()
+        known.update(zip(rest, map(data.__getitem__, map(slice, [0, *cuts], cuts))))
+
+    def _cuts(self, texts: list[str], words: list[str]) -> np.ndarray:
+        """Where the ids of each word end, by the tokenizer's offsets; ``texts`` are the words joined."""
         codes = self._tokenizer.encode_batch(texts, add_special_tokens=False)
         places = np.array(list(chain.from_iterable(code.offsets for code in codes)), np.int64).reshape(-1, 2)
         # offsets leave out blanks: a token of nothing else ends where it begins
         inside = places[:, 0] - (places[:, 0] == places[:, 1])
         before = np.cumsum([0] + [len(text) for text in texts])[:-1]
         inside += np.repeat(before, [len(code) for code in codes])
-        cuts = np.searchsorted(inside, np.cumsum([len(word) for word in rest])).tolist()
-        ids = np.array(list(chain.from_iterable(code.ids for code in codes)), "<u4").tobytes()
-        for word, start, end in zip(rest, [0, *cuts], cuts):
-            known[word] = ids[4 * start : 4 * end]
+        return np.searchsorted(inside, np.cumsum([len(word) for word in words]))
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def _cut_at_spaces(kind: dict) -> bool:

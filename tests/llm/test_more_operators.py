@@ -62,6 +62,33 @@ def test_words_are_encoded_as_whole_texts():
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_new_words_take_offsets_only_where_blanks_need_them():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    asked = []
+
+    class Watched:
+        def encode_batch(self, texts, **options):
+            asked.extend(texts)
+            return tokenizer.encode_batch(texts, **options)
+
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+    memory = WordMemory(BYTE_BPE)
+    memory._tokenizer = Watched()
+    plain = [f"w{k} it's x{k * k}, \t\n one{k} 語é <|endoftext|>" for k in range(300)]
+    blanks = ["a  b", " ", "x   \n y ", " \u3000z  \u3000 q", ""]
+    whole = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    # no space but as a word's beginning: offsets for no word but those that begin a text
+    regular = [text.replace(", \t", ",\t") for text in plain]
+    assert memory.ids(regular) == [whole(text) for text in regular]
+    assert not [text for text in asked if text.startswith(" ")]
+    assert memory.ids(blanks + plain) == [whole(text) for text in blanks + plain]
+    assert [text for text in asked if text.startswith(" ")]
+
+
 def test_a_small_memory_gives_the_same_ids():
     from tokenizers import Tokenizer
 

@@ -1,19 +1,20 @@
 """Scores of texts by a probabilistic suffix tree over words.
 
-The corpus is counted level by level. A context is a state of the tree when it is
-frequent enough and its next-symbol distribution diverges from that of its suffix; a
-state keeps explicit entries for its frequent next symbols and leaves the rest of its
-mass to the suffix. A symbol's probability is taken at the longest suffix of what
-precedes it that is a state.
-
-All thresholds are shares of the training tokens, so the tree has at most 1 / share
-entries a level whatever the corpus: it is sent to all tasks. Word counts have no such
-bound; those of rare words meet the documents in a join.
+The corpus is counted level by level. A context is a state of the tree when it occurs more
+than once and its next-symbol distribution diverges from that of its suffix; a state keeps
+explicit entries for the next symbols seen there more than once and leaves the rest of its
+mass to the suffix. A symbol's probability is taken at the longest suffix of what precedes
+it that is a state.
+
+The tree grows with the corpus and lies in tables. A document's score is a sum of one
+figure for each word, pair and triple of symbols in it. The figures of what makes up
+``hot_share`` of the training tokens, at most 1 / share a level whatever the corpus, are sent to
+all tasks; all others meet the documents in a join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,14 +28,15 @@ from tallyworks.llm.words import mix, parts, word_hashes
 _END = np.uint64(0x5DEECE66D1234567)
 _CHUNK = 1 << 22  # tokens that a task counts at a time
 _SALT = np.uint64(0x2545F4914F6CDD1D)
+_PAIR, _TRIPLE = 17, 29  # turns of the first of two hashes that are joined into one
 
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Parameters of the tree; every share is of the training tokens."""
+    """Parameters of the tree."""
 
-    word_share: float = 1e-6  # words whose counts are sent to all tasks: at most 1 / word_share
-    state_share: float = 1e-5  # contexts and entries: at most 1 / state_share a level
+    hot_share: float = 1e-6  # share of the training tokens from which figures are sent to all tasks
+    least: int = 2  # times that contexts and entries occur
     divergence: float = 0.02  # least divergence from the suffix, in bits a symbol
     smoothing: float = 2.0  # counts added for the suffix's distribution
 
@@ -49,29 +51,64 @@ def _symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, np.repeat(rows, counts + 1), counts + 1
 
 
-def _tally(keys: list[np.ndarray], names=("key", "n")) -> pa.RecordBatch:
-    values, counts = np.unique(np.concatenate(keys), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], list(names))
+def _joined(first: np.ndarray, second: np.ndarray, turn: int) -> np.ndarray:
+    return ((first << np.uint64(turn)) | (first >> np.uint64(64 - turn))) ^ second
 
 
-def _counted(docs: DataFrame, keys_of) -> DataFrame:
-    """Corpus-wide counts of the 64-bit keys that ``keys_of(text column)`` finds."""
+def _joined_columns(first: str, second: str, turn: int) -> Column:
+    turned = F.shiftleft(first, turn).bitwiseOR(F.shiftrightunsigned(first, 64 - turn))
+    return turned.bitwiseXOR(F.col(second))
+
+
+def _levels(symbols: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs and triples of symbols in a row as hashes, each with the place of its last symbol."""
+    at2 = np.flatnonzero(rows[1:] == rows[:-1]) + 1
+    pairs = np.zeros(len(symbols), np.uint64)
+    pairs[at2] = _joined(symbols[at2 - 1], symbols[at2], _PAIR)
+    at3 = np.flatnonzero(rows[2:] == rows[:-2]) + 2
+    return pairs[at2], at2, _joined(pairs[at3 - 1], pairs[at3], _TRIPLE), at3
+
+
+def _words_of(symbols: np.ndarray, rows: np.ndarray):
+    return symbols, symbols, symbols
+
+
+def _pairs_of(symbols: np.ndarray, rows: np.ndarray):
+    pairs, at, _, _ = _levels(symbols, rows)
+    return pairs, symbols[at - 1], symbols[at]
+
+
+def _triples_of(symbols: np.ndarray, rows: np.ndarray):
+    pairs, at2, triples, at3 = _levels(symbols, rows)
+    whole = np.zeros(len(symbols), np.uint64)
+    whole[at2] = pairs
+    return triples, whole[at3 - 1], whole[at3]
+
+
+def _counted(docs: DataFrame, found: Callable, names: tuple[str, ...]) -> DataFrame:
+    """Corpus-wide counts of what ``found(symbols, rows)`` gives: hashes, and their one or two parts by name."""
+
+    def tally(held: list) -> pa.RecordBatch:
+        keys, *columns = (np.concatenate(column) for column in zip(*held))
+        _, at, counts = np.unique(keys, return_index=True, return_counts=True)
+        taken = [pa.array(column[at].view(np.int64)) for column in columns[: len(names)]]
+        return pa.RecordBatch.from_arrays([*taken, pa.array(counts)], [*names, "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for whole in batches:
             for batch in parts(whole, "text"):
-                keys = keys_of(batch.column("text"))
-                held.append(keys)
-                size += len(keys)
+                symbols, rows, _ = _symbols(batch.column("text"))
+                held.append(found(symbols, rows))
+                size += len(symbols)
                 if size >= _CHUNK:
-                    yield _tally(held)
+                    yield tally(held)
                     held, size = [], 0
         if held:
-            yield _tally(held)
+            yield tally(held)
 
-    tallies = docs.select("text").mapInArrow(run, "key long, n long")
-    return tallies.groupBy("key").agg(F.sum("n").alias("n"))
+    schema = ", ".join(f"{name} long" for name in (*names, "n"))
+    return docs.select("text").mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -82,99 +119,69 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
-def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return (first.astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
+def _states(entries: DataFrame, context: str, settings: TreeSettings) -> DataFrame:
+    """Contexts that are states, with the share ``rest`` that each leaves to its suffix.
 
+    ``entries`` has the context, how often it is ``seen``, and n and the suffix's share
+    ``suffix`` of each explicit symbol.
+    """
+    extra, plain = settings.smoothing, F.col("n") / F.col("seen")
+    sums = entries.groupBy(context).agg(
+        F.max("seen").alias("seen"),
+        F.sum("n").alias("explicit"),
+        F.sum(plain * F.log2(plain / F.col("suffix"))).alias("gain"),
+        F.sum("suffix").alias("sum_suffix"),
+    )
+    # divergence over the explicit symbols and, as one symbol, all others
+    left = F.greatest(1 - F.col("explicit") / F.col("seen"), F.lit(1e-12))
+    left_suffix = F.greatest(1 - F.col("sum_suffix"), F.lit(1e-12))
+    kept = sums.where(F.col("gain") + left * F.log2(left / left_suffix) >= settings.divergence)
+    return kept.select(context, ((F.col("seen") - F.col("explicit") + extra) / (F.col("seen") + extra)).alias("rest"))
 
-class _Tree:
-    """The tree's arrays: words with counts, entries after one word, entries after two."""
 
-    def __init__(self, words, counts, floor, total, distinct, settings):
-        order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order].astype(np.float64)
-        self.log_floor = -np.log10(total + distinct + 1)
-        self.total, self.distinct, self.settings = total, distinct, settings
-        self.common = self.counts >= floor
-        self.pair_keys = np.zeros(0, np.uint64)
-        self.triple_keys = np.zeros(0, np.uint64)
+def _entered(entries: DataFrame, states: DataFrame, context: str, settings: TreeSettings) -> DataFrame:
+    """Adds each entry's share ``p`` and ``gained``: log10 of it over what the symbol has without the entry."""
+    entry = F.when(F.col("rest").isNull(), 0.0).otherwise(F.col("n") / (F.col("seen") + settings.smoothing))
+    left = F.coalesce("rest", F.lit(1.0)) * F.col("suffix")
+    joined = entries.join(states, context, "left").withColumn("p", entry + left)
+    return joined.withColumn("gained", F.log10(F.col("p") / left)).drop("rest")
 
-    def root(self, at: np.ndarray) -> np.ndarray:
-        return (self.counts[at] + 1) / (self.total + self.distinct + 1)
 
-    def common_word(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in ``words``, and the same for common words only (else -1)."""
-        at = _find(self.words, symbols)
-        return at, np.where((at >= 0) & self.common[np.maximum(at, 0)], at, -1)
-
-    def pair_places(self, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """For each symbol, the place of (symbol before, symbol) among the pairs, or -1."""
-        out = np.full(len(at), -1, np.int64)
-        if len(at) > 1:
-            fit = np.flatnonzero((rows[1:] == rows[:-1]) & (at[1:] >= 0) & (at[:-1] >= 0)) + 1
-            out[fit] = _find(self.pair_keys, _pairs(at[fit - 1], at[fit]))
-        return out
-
-    def add_pairs(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.pair_keys, self.pair_counts = keys[order], counts[order].astype(np.float64)
-        first = (self.pair_keys >> np.uint64(32)).astype(np.int64)
-        second = (self.pair_keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        self.pair_second = second
-        self.entry1, self.rest1 = self._state(first, len(self.words), self.counts, self.pair_counts, self.root(second))
-
-    def add_triples(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Keys are (pair before, pair ending here): the context is the first pair."""
-        order = np.argsort(keys)
-        self.triple_keys, counts = keys[order], counts[order].astype(np.float64)
-        context = (self.triple_keys >> np.uint64(32)).astype(np.int64)
-        pair = (self.triple_keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        middle = (self.pair_keys[pair] >> np.uint64(32)).astype(np.int64)
-        suffix = self.entry1[pair] + self.rest1[middle] * self.root(self.pair_second[pair])
-        self.entry2, self.rest2 = self._state(context, len(self.pair_keys), self.pair_counts, counts, suffix)
-
-    def _state(self, context, size, seen, counts, suffix):
-        """Share of each entry and share left to the suffix, for the contexts that are kept."""
-        extra = self.settings.smoothing
-        entry = counts / (seen[context] + extra)
-        explicit = np.bincount(context, counts, size)
-        rest = (seen - explicit + extra) / (seen + extra)
-        # divergence over the explicit symbols and, as one symbol, all others
-        plain = counts / seen[context]
-        gain = np.bincount(context, plain * np.log2(plain / suffix), size)
-        left = np.maximum(1 - explicit / np.maximum(seen, 1), 1e-12)
-        left_suffix = np.maximum(1 - np.bincount(context, suffix, size), 1e-12)
-        kept = (explicit > 0) & (gain + left * np.log2(left / left_suffix) >= self.settings.divergence)
-        return np.where(kept[context], entry, 0.0), np.where(kept, rest, 1.0)
+class _Hot:
+    """Figures by hash of frequent words (with their counts), pairs and triples."""
 
-    def score(self, symbols: np.ndarray, rows: np.ndarray):
-        """log10 probability of each symbol, its base, and whether its count is here.
+    def __init__(self, words, counts, figures, others, other_figures, total, distinct):
+        order = np.argsort(words)
+        self.words, self.figures = words[order], figures[order]
+        self.root = np.log10(counts[order] + 1.0)
+        self.log_floor = -np.log10(total + distinct + 1)
+        order = np.argsort(others)
+        self.others, self.other_figures = others[order], other_figures[order]
 
-        Where the count is not here, both lack log10(count + 1), to be added.
-        """
-        at, common = self.common_word(symbols)
+    def score(self, symbols: np.ndarray, rows: np.ndarray):
+        """Score and base (log10) of each symbol as far as they are known here, whether its count is,
+        and the hashes and rows of pairs and triples whose figures are not."""
+        at = _find(self.words, symbols)
         known = at >= 0
-        base = np.where(known, self.root(np.maximum(at, 0)), 1.0) if len(self.words) else np.ones(len(at))
-        p = base.copy()
-        if len(self.pair_keys):
-            before = np.full(len(at), -1, np.int64)
-            before[1:] = np.where(rows[1:] == rows[:-1], common[:-1], -1)
-            pair = self.pair_places(common, rows)
-            p = p * np.where(before >= 0, self.rest1[np.maximum(before, 0)], 1.0)
-            p += np.where(pair >= 0, self.entry1[np.maximum(pair, 0)], 0.0)
-            if len(self.triple_keys):
-                context = np.full(len(at), -1, np.int64)
-                context[1:] = np.where(rows[1:] == rows[:-1], pair[:-1], -1)
-                p = p * np.where(context >= 0, self.rest2[np.maximum(context, 0)], 1.0)
-                fit = np.flatnonzero((context >= 0) & (pair >= 0))
-                found = _find(self.triple_keys, _pairs(context[fit], pair[fit]))
-                p[fit] += np.where(found >= 0, self.entry2[np.maximum(found, 0)], 0.0)
-        lacking = np.where(known, 0.0, self.log_floor)
-        return np.log10(p) + lacking, np.log10(base) + lacking, known
-
-
-def _arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.words):
+            base = self.log_floor + np.where(known, self.root[at], 0.0)
+            score = base + np.where(known, self.figures[at], 0.0)
+        else:
+            base = np.full(len(symbols), self.log_floor)
+            score = base.copy()
+        pairs, at2, triples, at3 = _levels(symbols, rows)
+        keys, places = np.concatenate([pairs, triples]), np.concatenate([at2, at3])
+        found = _find(self.others, keys)
+        hit = np.flatnonzero(found >= 0)
+        if len(hit):
+            score += np.bincount(places[hit], self.other_figures[found[hit]], len(symbols))
+        miss = np.flatnonzero(found < 0)
+        return score, base, known, keys[miss], rows[places[miss]]
+
+
+def _arrays(table: DataFrame) -> list[np.ndarray]:
     found = table.toArrow()
-    return found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
+    return [found[0].to_numpy().view(np.uint64), *(column.to_numpy() for column in found.columns[1:])]
 
 
 def score_documents(docs: DataFrame, held_out: Column, settings: TreeSettings = TreeSettings()) -> DataFrame:
@@ -190,57 +197,66 @@ def score_documents(docs: DataFrame, held_out: Column, settings: TreeSettings =
     held = F.coalesce(held_out, F.lit(False))
     rows = docs.select("doc_id", "text", held.alias("held_out"))
     train = rows.where(~F.col("held_out"))
+    often = F.col("n") >= settings.least
 
-    counts = scratch.keep(_counted(train, lambda column: _symbols(column)[0]), "counts")
+    counts = scratch.keep(_counted(train, _words_of, ("key",)), "counts")
     facts = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = facts["n"], facts["v"]
-    word_floor, state_floor = settings.word_share * total, settings.state_share * total
-    # at most 1 / word_share rows, as their counts add up to no more than the total
-    words, seen = _arrays(counts.where(F.col("n") >= word_floor))
-    tree = _Tree(words, seen, max(state_floor, 2), total, distinct, settings)
-
-    shared = spark.sparkContext.broadcast(tree)
-
-    def pair_keys(column: pa.Array) -> np.ndarray:
-        symbols, of, _ = _symbols(column)
-        common = shared.value.common_word(symbols)[1]
-        fit = (of[1:] == of[:-1]) & (common[1:] >= 0) & (common[:-1] >= 0)
-        return _pairs(common[:-1][fit], common[1:][fit])
-
-    frequent = F.col("n") >= max(state_floor, 2)
-    if len(words):
-        tree.add_pairs(*_arrays(_counted(train, pair_keys).where(frequent)))
-    paired = spark.sparkContext.broadcast(tree)
-
-    def triple_keys(column: pa.Array) -> np.ndarray:
-        symbols, of, _ = _symbols(column)
-        known = paired.value
-        pair = known.pair_places(known.common_word(symbols)[1], of)
-        fit = (of[1:] == of[:-1]) & (pair[1:] >= 0) & (pair[:-1] >= 0)
-        return _pairs(pair[:-1][fit], pair[1:][fit])
-
-    if len(tree.pair_keys):
-        tree.add_triples(*_arrays(_counted(train, triple_keys).where(frequent)))
-    full = spark.sparkContext.broadcast(tree)
-
-    schema = "row long, key long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
-    names = [part.split()[0] for part in schema.split(", ")]
+    floor = settings.hot_share * total
+    root = (F.col("n") + 1) / (total + distinct + 1)
+
+    # contexts of one word; what occurs there more than once is itself a word that does
+    repeated = counts.where(often)
+    followed = repeated.select(F.col("key").alias("first"), F.col("n").alias("seen"))
+    following = repeated.select(F.col("key").alias("second"), root.alias("suffix"))
+    pairs = _counted(train, _pairs_of, ("first", "second")).where(often)
+    entries = scratch.keep(pairs.join(followed, "first").join(following, "second"), "pairs")
+    states = scratch.keep(_states(entries, "first", settings), "states")
+    pairs = _entered(entries, states, "first", settings)
+    pairs = scratch.keep(
+        pairs.select(_joined_columns("first", "second", _PAIR).alias("key"), "n", "p", "gained"), "pair-shares"
+    )
+    scratch.drop(entries)
+
+    # contexts of two words, each a pair, as is every symbol there with the second of them
+    before = pairs.select(F.col("key").alias("context"), F.col("n").alias("seen"))
+    suffix = pairs.select(F.col("key").alias("last"), F.col("p").alias("suffix"))
+    triples = _counted(train, _triples_of, ("context", "last")).where(often)
+    entries = scratch.keep(triples.join(before, "context").join(suffix, "last"), "triples")
+    deeper = scratch.keep(_states(entries, "context", settings), "deeper-states")
+    triples = _entered(entries, deeper, "context", settings).select(
+        _joined_columns("context", "last", _TRIPLE).alias("key"), "n", F.col("gained").alias("figure")
+    )
+
+    # a state's figure applies to every occurrence of its context, as a symbol always follows
+    passed = F.coalesce(F.log10("rest"), F.lit(0.0))
+    words = counts.join(states.withColumnRenamed("first", "key"), "key", "left").select("key", "n", passed.alias("figure"))
+    pairs = pairs.join(deeper.withColumnRenamed("context", "key"), "key", "left").select(
+        "key", "n", (F.col("gained") + passed).alias("figure")
+    )
+    words = scratch.keep(words, "word-figures")
+    others = scratch.keep(pairs.unionAll(triples), "figures")
+    scratch.drop_all_but(words, others)
+    # at most 1 / hot_share rows a level, as their counts add up to no more than the total
+    hot = F.col("n") >= floor
+    known_words, known_others = _arrays(words.where(hot)), _arrays(others.where(hot).select("key", "figure"))
+    sent = spark.sparkContext.broadcast(_Hot(*known_words, *known_others, total, distinct))
+
+    about = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+    schema = f"row long, key long, about struct<{about.replace(' ', ': ').replace(',:', ',')}>"
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_tree = full.value
+        hot_figures = sent.value
         for whole in batches:
             for batch in parts(whole, "text"):
                 symbols, of, sizes = _symbols(batch.column("text"))
                 n = batch.num_rows
                 row_ids = batch.column("row").to_numpy()
-                score, base, known = known_tree.score(symbols, of)
+                score, base, known, keys, row_of_key = hot_figures.score(symbols, of)
                 rare = np.flatnonzero(~known)
-                # one row per document, under a key that no word is likely to have,
-                # and one for each word whose count is not at hand
-                yield pa.RecordBatch.from_arrays(
+                keys, row_of_key = np.concatenate([symbols[rare], keys]), np.concatenate([of[rare], row_of_key])
+                facts = pa.StructArray.from_arrays(
                     [
-                        pa.array(row_ids),
-                        pa.array(mix(row_ids.view(np.uint64) ^ _SALT).view(np.int64)),
                         batch.column("doc_id"),
                         batch.column("held_out"),
                         pa.array(sizes),
@@ -248,38 +264,37 @@ def score_documents(docs: DataFrame, held_out: Column, settings: TreeSettings =
                         pa.array(np.bincount(of, base, n)),
                         pa.array(np.bincount(of, score, n)),
                     ],
-                    names,
-                )
-                empty = pa.nulls(len(rare), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row_ids[of[rare]]),
-                        pa.array(symbols[rare].view(np.int64)),
-                        empty,
-                        pa.nulls(len(rare), pa.bool_()),
-                        empty,
-                        empty,
-                        pa.nulls(len(rare), pa.float64()),
-                        pa.nulls(len(rare), pa.float64()),
-                    ],
-                    names,
+                    [field.split()[0] for field in about.split(", ")],
                 )
+                # one row per document, under a key that nothing else is likely to have,
+                # and one for each word, pair and triple whose figure is not at hand
+                own = mix(row_ids.view(np.uint64) ^ _SALT).view(np.int64)
+                names = ["row", "key", "about"]
+                yield pa.RecordBatch.from_arrays([pa.array(row_ids), pa.array(own), facts], names)
+                for at in range(0, len(keys), _CHUNK // 4):
+                    some = slice(at, at + _CHUNK // 4)
+                    row = pa.array(row_ids[row_of_key[some]])
+                    key = pa.array(keys[some].view(np.int64))
+                    yield pa.RecordBatch.from_arrays([row, key, pa.nulls(len(row), facts.type)], names)
 
     parts_of = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(scored, schema)
-    rare_counts = counts.where(F.col("n") < word_floor).withColumnRenamed("n", "seen")
-    event = F.col("n_tokens").isNull() & F.col("seen").isNotNull()
-    added = F.when(event, F.log10(F.col("seen") + 1)).otherwise(0.0)
+    rest = words.where(~hot).select("key", F.col("n").alias("count"), "figure").unionAll(
+        others.where(~hot).select("key", F.lit(None).cast("long").alias("count"), "figure")
+    )
+    event = F.col("about").isNull()
+    counted = F.sum(F.when(event & F.col("count").isNotNull(), F.log10(F.col("count") + 1)).otherwise(0.0))
+    figures = F.sum(F.when(event, F.coalesce("figure", F.lit(0.0))).otherwise(0.0))
     return (
-        parts_of.join(rare_counts, "key", "left")
+        parts_of.join(rest, "key", "left")
         .groupBy("row")
         .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("held_out").alias("held_out"),
-            F.sum("n_tokens").alias("n_tokens"),
-            (F.sum("n_known") + F.count_if(event)).alias("n_known"),
+            F.max("about.doc_id").alias("doc_id"),
+            F.max("about.held_out").alias("held_out"),
+            F.sum("about.n_tokens").alias("n_tokens"),
+            (F.sum("about.n_known") + F.count_if(event & F.col("count").isNotNull())).alias("n_known"),
             F.lit(total).cast("long").alias("train_tokens"),
-            (F.sum("base") + F.sum(added)).alias("base_score"),
-            (F.sum("score") + F.sum(added)).alias("score"),
+            (F.sum("about.base") + counted).alias("base_score"),
+            (F.sum("about.score") + counted + figures).alias("score"),
         )
         .drop("row")
     )

@@ -108,6 +108,41 @@ def base_scores(docs, held_out):
     return out
 
 
+def tree_scores(docs, held_out, least=2, divergence=0.02, smoothing=2.0):
+    """(doc_id, score) by a suffix tree of contexts of one and two words, all in dictionaries."""
+    counts = [Counter(), Counter(), Counter()]
+    symbols = [(d, [*words(t), None]) for d, t in docs]
+    for d, own in symbols:
+        if not held_out(d):
+            for n in range(3):
+                counts[n].update(tuple(own[i : i + n + 1]) for i in range(len(own) - n))
+    size = sum(counts[0].values()) + len(counts[0]) + 1
+    states = {}
+
+    def share(context, symbol):
+        if not context:
+            return (counts[0][(symbol,)] + 1) / size
+        entry, rest = states.get(context, ({}, 1.0))
+        return entry.get(symbol, 0.0) + rest * share(context[1:], symbol)
+
+    for n in (1, 2):
+        following = defaultdict(dict)
+        for gram, c in counts[n].items():
+            if c >= least:
+                following[gram[:-1]][gram[-1]] = c
+        found = {}
+        for context, entries in following.items():
+            seen, explicit = counts[n - 1][context], sum(entries.values())
+            below = {x: share(context[1:], x) for x in entries}
+            gain = sum(c / seen * math.log2(c / seen / below[x]) for x, c in entries.items())
+            left, left_below = max(1 - explicit / seen, 1e-12), max(1 - sum(below.values()), 1e-12)
+            if gain + left * math.log2(left / left_below) >= divergence:
+                shares = {x: c / (seen + smoothing) for x, c in entries.items()}
+                found[context] = shares, (seen - explicit + smoothing) / (seen + smoothing)
+        states.update(found)
+    return [(d, sum(math.log10(share(tuple(own[max(i - 2, 0) : i]), w)) for i, w in enumerate(own))) for d, own in symbols]
+
+
 def remainder(doc_id, divisor: int) -> int | None:
     return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % divisor
 

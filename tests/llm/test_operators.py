@@ -12,7 +12,7 @@ from tallyworks.llm.cap_join import vector_links
 from tallyworks.llm.forest_dedup import near_copies
 from tallyworks.llm.secret_ownership import scan_secrets
 from tallyworks.llm.suffix_dedup import remove_repeats
-from tallyworks.llm.suffix_tree_lm import score_documents
+from tallyworks.llm.suffix_tree_lm import TreeSettings, score_documents
 
 
 @pytest.fixture(scope="module")
@@ -97,6 +97,22 @@ def test_base_scores(docs, texts):
         assert r.score < 0
 
 
+@pytest.mark.parametrize("hot_share", [1e-6, 3e-3, 1.1])
+def test_rare_contexts_are_in_the_tree(spark, hot_share):
+    rng = random.Random(8)
+    passage = " ".join(f"rare{k}" for k in range(30))
+    texts = [(k, " ".join(f"W{int(rng.expovariate(0.2))}" for _ in range(rng.randrange(120)))) for k in range(120)]
+    texts += [(200, passage), (201, f"x {passage} y"), (202, None), (203, ""), (204, "a a a a a a a")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    held = lambda d: d % 7 == 2
+    got = score_documents(docs, F.col("doc_id") % 7 == 2, TreeSettings(hot_share=hot_share)).orderBy("doc_id").collect()
+    assert [r.doc_id for r in got] == [d for d, _ in sorted(texts)]
+    assert [r.score for r in got] == pytest.approx([score for _, score in sorted(brute.tree_scores(texts, held))], abs=1e-6)
+    assert [r.base_score for r in got] == pytest.approx([b[5] for b in sorted(brute.base_scores(texts, held))], abs=1e-6)
+    # what occurs twice is foreseen, whatever its share of the corpus
+    assert got[-5].doc_id == 200 and got[-5].score > got[-5].base_score / 2
+
+
 def test_planted_vectors_link(spark):
     rng = random.Random(3)
     rows = []

@@ -74,7 +74,7 @@ def _profiles(settings: ForestSettings, with_sets: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in parts(whole, "text"):
+            for batch in parts(whole, "text", 1 << 20):
                 words, counts = word_hashes(batch.column("text"))
                 values, sizes = distinct_per_row(*shingle_hashes(words, counts, settings.shingle))
                 if with_sets:

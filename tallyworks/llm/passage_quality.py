@@ -211,7 +211,7 @@ def score_quality(docs: DataFrame, net, settings: QualitySettings = QualitySetti
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in parts(whole, "text"):
+            for batch in parts(whole, "text", 1 << 20):
                 x, sizes = passage_features(batch.column("text"), settings)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(net.forward(x, sizes)[0])], [*batch.schema.names, "quality_score"]

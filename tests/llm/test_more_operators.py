@@ -101,6 +101,26 @@ def test_a_small_memory_gives_the_same_ids():
             assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_known_words_take_little_memory():
+    import tracemalloc
+
+    memory = WordMemory(BYTE_BPE)
+    words = [f"word{k}x{k * k}" for k in range(60_000)]
+    memory.ids(["warm"])
+    tracemalloc.start()
+    try:
+        memory.ids([" ".join(words[at : at + 600]) for at in range(0, len(words), 600)])
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    # numpy's arrays are traced, Arrow's are not; an object or two for each word took over 150 bytes
+    assert held + memory._known.nbytes < 110 * len(words)
+    long = WordMemory(BYTE_BPE, limit=1000)
+    for k in range(8):
+        long.ids([" ".join(f"{k}w{n}" * 20 for n in range(400))])
+    assert long._known.nbytes < 2 * 64 * 1000 + 8 * 400 * 20 and len(long._known) < 2000
+
+
 def test_other_kinds_of_tokenizers_get_whole_texts(tmp_path):
     from tokenizers import Tokenizer, models, pre_tokenizers
 

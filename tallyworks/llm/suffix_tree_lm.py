@@ -6,19 +6,23 @@ explicit entries for the next symbols seen there more than once and leaves the r
 mass to the suffix. A symbol's probability is taken at the longest suffix of what precedes
 it that is a state.
 
-The tree grows with the corpus and lies in tables. A document's score is a sum of one
-figure for each word, pair and triple of symbols in it. The figures of what makes up
-``hot_share`` of the training tokens, at most 1 / share a level whatever the corpus, are sent to
-all tasks; all others meet the documents in a join.
+The tree grows with the corpus and is never in one place. Documents lie in chunks, as numbers
+of words. Each chunk sends its different words, pairs or triples, once each, to buckets by
+hash; a bucket adds up what all chunks sent and answers each of them in the order of its keys.
+A pair is sent only if both of its words occur twice, a triple only if both of its pairs do.
+One chunk of those that sent a key owns it and adds its entry to the sums of the context,
+which go to buckets likewise. A document's score is then a sum of figures that its chunk has.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,16 +30,22 @@ from tallyworks.llm.scratch import Scratch
 from tallyworks.llm.words import mix, parts, word_hashes
 
 _END = np.uint64(0x5DEECE66D1234567)
-_CHUNK = 1 << 22  # tokens that a task counts at a time
-_SALT = np.uint64(0x2545F4914F6CDD1D)
+_CHUNK = 1 << 20  # tokens of a chunk; a text is never cut
+_BUCKET = 1 << 21  # tokens of the corpus for each bucket at most
+_TASK_BITS = 33
 _PAIR, _TRIPLE = 17, 29  # turns of the first of two hashes that are joined into one
+_WORDS, _PAIRS, _TRIPLES, _STATES, _DEEPER = range(5)  # what is asked for
+
+_CHUNKS = "chunk long, tokens long, doc_ids array<long>, held array<boolean>, sizes binary, words binary, places binary"
+_ASKS = "kind int, chunk long, bucket int, keys binary, n binary, seen binary, gain binary, share binary"
+_ANSWERS = "kind int, chunk long, bucket int, found binary, total long, distinct long"
 
 
 @dataclass(frozen=True)
 class TreeSettings:
     """Parameters of the tree."""
 
-    hot_share: float = 1e-6  # share of the training tokens from which figures are sent to all tasks
+    hot_share: float = 1e-6  # without effect: figures are asked for alike, whatever their share of the training tokens
     least: int = 2  # times that contexts and entries occur
     divergence: float = 0.02  # least divergence from the suffix, in bits a symbol
     smoothing: float = 2.0  # counts added for the suffix's distribution
@@ -55,133 +65,232 @@ def _joined(first: np.ndarray, second: np.ndarray, turn: int) -> np.ndarray:
     return ((first << np.uint64(turn)) | (first >> np.uint64(64 - turn))) ^ second
 
 
-def _joined_columns(first: str, second: str, turn: int) -> Column:
-    turned = F.shiftleft(first, turn).bitwiseOR(F.shiftrightunsigned(first, 64 - turn))
-    return turned.bitwiseXOR(F.col(second))
-
-
-def _levels(symbols: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs and triples of symbols in a row as hashes, each with the place of its last symbol."""
-    at2 = np.flatnonzero(rows[1:] == rows[:-1]) + 1
-    pairs = np.zeros(len(symbols), np.uint64)
-    pairs[at2] = _joined(symbols[at2 - 1], symbols[at2], _PAIR)
-    at3 = np.flatnonzero(rows[2:] == rows[:-2]) + 2
-    return pairs[at2], at2, _joined(pairs[at3 - 1], pairs[at3], _TRIPLE), at3
-
-
-def _words_of(symbols: np.ndarray, rows: np.ndarray):
-    return symbols, symbols, symbols
-
-
-def _pairs_of(symbols: np.ndarray, rows: np.ndarray):
-    pairs, at, _, _ = _levels(symbols, rows)
-    return pairs, symbols[at - 1], symbols[at]
-
-
-def _triples_of(symbols: np.ndarray, rows: np.ndarray):
-    pairs, at2, triples, at3 = _levels(symbols, rows)
-    whole = np.zeros(len(symbols), np.uint64)
-    whole[at2] = pairs
-    return triples, whole[at3 - 1], whole[at3]
-
-
-def _counted(docs: DataFrame, found: Callable, names: tuple[str, ...]) -> DataFrame:
-    """Corpus-wide counts of what ``found(symbols, rows)`` gives: hashes, and their one or two parts by name."""
-
-    def tally(held: list) -> pa.RecordBatch:
-        keys, *columns = (np.concatenate(column) for column in zip(*held))
-        _, at, counts = np.unique(keys, return_index=True, return_counts=True)
-        taken = [pa.array(column[at].view(np.int64)) for column in columns[: len(names)]]
-        return pa.RecordBatch.from_arrays([*taken, pa.array(counts)], [*names, "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for whole in batches:
-            for batch in parts(whole, "text"):
-                symbols, rows, _ = _symbols(batch.column("text"))
-                held.append(found(symbols, rows))
-                size += len(symbols)
-                if size >= _CHUNK:
-                    yield tally(held)
-                    held, size = [], 0
-        if held:
-            yield tally(held)
-
-    schema = ", ".join(f"{name} long" for name in (*names, "n"))
-    return docs.select("text").mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
-
-
-def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key in a sorted table, -1 for those not in it."""
-    if not len(table):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
-
-
-def _states(entries: DataFrame, context: str, settings: TreeSettings) -> DataFrame:
-    """Contexts that are states, with the share ``rest`` that each leaves to its suffix.
-
-    ``entries`` has the context, how often it is ``seen``, and n and the suffix's share
-    ``suffix`` of each explicit symbol.
-    """
-    extra, plain = settings.smoothing, F.col("n") / F.col("seen")
-    sums = entries.groupBy(context).agg(
-        F.max("seen").alias("seen"),
-        F.sum("n").alias("explicit"),
-        F.sum(plain * F.log2(plain / F.col("suffix"))).alias("gain"),
-        F.sum("suffix").alias("sum_suffix"),
-    )
+def _packed(values: np.ndarray) -> bytes:
+    """An array compressed byte by byte of its values, after their number."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, kind: str) -> np.ndarray:
+    n, size = int.from_bytes(packed[:8], "little"), np.dtype(kind).itemsize
+    raw = pa.decompress(packed[8:], n * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    return _packed(np.diff(keys, prepend=np.uint64(0)))  # steps between sorted keys have zeros in front
+
+
+def _unpacked_keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(packed, "u8"), dtype=np.uint64)  # a step back goes round
+
+
+def _packed_few(values: np.ndarray) -> bytes:
+    """An array of few different values, as these and their numbers."""
+    distinct, number = np.unique(values, return_inverse=True)
+    head = _packed(distinct)
+    return len(head).to_bytes(8, "little") + head + _packed(number.astype("<i4"))
+
+
+def _unpacked_few(packed: bytes, kind: str) -> np.ndarray:
+    end = 8 + int.from_bytes(packed[:8], "little")
+    return _unpacked(packed[8:end], kind)[_unpacked(packed[end:], "<i4")]
+
+
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    """Columns by a schema's names; a list of values or an array each."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}
+    kinds |= {"array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+    fields = [field.split() for field in schema.split(", ")]
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields)]
+    return pa.RecordBatch.from_arrays(arrays, [name for name, _ in fields])
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of some tokens in one row: different words, and the number of each token's word."""
+    task, done, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+    def chunk() -> pa.RecordBatch:
+        symbols, sizes = (np.concatenate([one[k] for one in held]) for k in (0, 1))
+        words, places, counts = np.unique(symbols, return_inverse=True, return_counts=True)
+        # frequent words have small numbers, those equally frequent are sorted: both compress
+        order = np.argsort(-counts, stable=True)
+        numbers = np.empty(len(words), "<i4")
+        numbers[order] = np.arange(len(words))
+        doc_ids, flags = ([x for one in held for x in one[k].to_pylist()] for k in (2, 3))
+        packed = [_packed(sizes), _packed_keys(words[order]), _packed(numbers[places])]
+        return _batch(_CHUNKS, [[(task << _TASK_BITS) + done], [len(symbols)], [doc_ids], [flags], *([one] for one in packed)])
+
+    for whole in batches:
+        for batch in parts(whole, "text", 1 << 20):
+            symbols, _, sizes = _symbols(batch.column("text"))
+            held.append((symbols, sizes, batch.column("doc_id"), batch.column("held_out")))
+            size += len(symbols)
+            if size >= _CHUNK:
+                yield chunk()
+                done, held, size = done + 1, [], 0
+    if size:
+        yield chunk()
+
+
+class _Chunk:
+    """A chunk's tokens with what has been answered so far."""
+
+    def __init__(self, row: dict, answers: pa.Table | None, settings: TreeSettings, size: int = 1):
+        self.id, self.doc_ids, self.held = row["chunk"], row["doc_ids"], row["held"]
+        self.sizes = _unpacked(row["sizes"], "<i8")
+        numbered = _unpacked_keys(row["words"])
+        order = np.argsort(numbered)
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order))
+        self.words, self.places = numbered[order], number[_unpacked(row["places"], "<i4")]
+        self.rows = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        self.train = ~np.array(self.held, bool)[self.rows]
+        self._settings, self._size, self._found = settings, size, {}
+        if answers is not None:
+            answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+            for kind, found in zip(answers["kind"].to_pylist(), answers["found"].to_pylist()):
+                self._found.setdefault(kind, []).append(found)
+
+    def found(self, kind: int, expected: int) -> np.ndarray:
+        """What was answered for all keys of a kind, in their order."""
+        form = "<f8" if kind in (_STATES, _DEEPER) else "<i8"
+        found = [_unpacked_few(one, form) for one in self._found.pop(kind, [])]
+        out = np.concatenate(found) if found else np.zeros(0, form)
+        if len(out) != expected:
+            raise ValueError(f"{len(out)} answers for {expected} keys")
+        return out
+
+    def count_words(self) -> None:
+        self.n = self.found(_WORDS, len(self.words)) >> 1
+        self.often = self.n >= self._settings.least
+        self.root = (self.n + 1) / self._size
+
+    def meet_pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Different pairs of words that both occur often, and how often each does in training rows."""
+        fit = self.often[self.places]
+        self.at2 = np.flatnonzero((self.rows[1:] == self.rows[:-1]) & fit[1:] & fit[:-1]) + 1
+        joined = _joined(self.words[self.places[self.at2 - 1]], self.words[self.places[self.at2]], _PAIR)
+        self.pairs, self.pair_of, counts = _distinct(mix(joined), self.train[self.at2])
+        return self.pairs, counts
+
+    def count_pairs(self) -> None:
+        found = self.found(_PAIRS, len(self.pairs))
+        self.pair_n, self.pair_owned = found >> 1, (found & 1).astype(bool)
+        self.pair_often = self.pair_n >= self._settings.least
+        some = np.empty(len(self.pairs), np.int64)
+        some[self.pair_of] = self.at2
+        self.first, self.second = self.places[some - 1], self.places[some]
+
+    def meet_triples(self) -> tuple[np.ndarray, np.ndarray]:
+        """Different triples whose pairs both occur often, and how often each does in training rows."""
+        here = np.full(len(self.places), -1, np.int32)
+        fit = self.pair_often[self.pair_of]
+        here[self.at2[fit]] = self.pair_of[fit]
+        self.at3 = np.flatnonzero((here[1:] >= 0) & (here[:-1] >= 0)) + 1
+        before, last = here[self.at3 - 1], here[self.at3]
+        joined = _joined(self.pairs[before], self.pairs[last], _TRIPLE)
+        triples, self.triple_of, counts = _distinct(mix(joined), self.train[self.at3])
+        self.context, self.last = np.empty(len(triples), np.int32), np.empty(len(triples), np.int32)
+        self.context[self.triple_of], self.last[self.triple_of] = before, last
+        return triples, counts
+
+    def count_triples(self) -> None:
+        found = self.found(_TRIPLES, len(self.context))
+        self.triple_n, self.triple_owned = found >> 1, (found & 1).astype(bool)
+        self.triple_often = self.triple_n >= self._settings.least
+
+    def enter_pairs(self) -> None:
+        """The share ``rest`` that each word leaves to its suffix, and what each pair has by that."""
+        self.rest = np.ones(len(self.words))
+        self.rest[self.often] = self.found(_STATES, int(self.often.sum()))
+        left = self.rest[self.first] * self.root[self.second]
+        entry = self.pair_n / (self.n[self.first] + self._settings.smoothing)
+        self.share = left + np.where(self.pair_often & (self.rest[self.first] < 1), entry, 0)
+        self.pair_gain = np.log10(self.share / left)
+
+    def enter_triples(self) -> None:
+        self.pair_rest = np.ones(len(self.pairs))
+        self.pair_rest[self.pair_often] = self.found(_DEEPER, int(self.pair_often.sum()))
+        left = self.pair_rest[self.context] * self.share[self.last]
+        entry = self.triple_n / (self.pair_n[self.context] + self._settings.smoothing)
+        share = left + np.where(self.triple_often & (self.pair_rest[self.context] < 1), entry, 0)
+        self.triple_gain = np.log10(share / left)
+
+    def scores(self, total: int) -> pa.RecordBatch:
+        known = self.n > 0
+        base = np.log10(self.n + 1) - np.log10(self._size)
+        # a state's rest applies to every occurrence of its context, as a symbol always follows
+        score = (base + np.log10(self.rest))[self.places]
+        score[self.at2] += (self.pair_gain + np.log10(self.pair_rest))[self.pair_of]
+        score[self.at3] += self.triple_gain[self.triple_of]
+        n = len(self.sizes)
+        columns = [np.bincount(self.rows, x, n) for x in (known[self.places], base[self.places], score)]
+        whole = [self.doc_ids, self.held, self.sizes, columns[0].astype(np.int64), np.full(n, total), *columns[1:]]
+        return _batch(_SCORES, whole)
+
+
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _distinct(keys: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    distinct, inverse = np.unique(keys, return_inverse=True)
+    inverse = inverse.astype(np.int32)
+    return distinct, inverse, np.bincount(inverse[counted], minlength=len(distinct))
+
+
+def _asks(kind, chunk: int, buckets: int, keys: np.ndarray, n: np.ndarray, *sums: np.ndarray, half: int | None = None) -> pa.RecordBatch:
+    """A row for each bucket (or those of a half) of sorted keys: ranges of their upper 24 bits."""
+    bounds = (np.arange(1, buckets, dtype=np.uint64) << np.uint64(24)) // np.uint64(buckets) << np.uint64(40)
+    cuts = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
+    own = [(b, slice(x, y)) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y and half in (None, b % 2)]
+    packed = [[_packed(values[of]) for _, of in own] for values in (n, *sums)]
+    packed += [[None] * len(own)] * (4 - len(packed))
+    about = [[kind] * len(own), [chunk] * len(own), [b for b, _ in own]]
+    return _batch(_ASKS, [*about, [_packed_keys(keys[of]) for _, of in own], *packed])
+
+
+def _context_sums(of: np.ndarray, contexts: int, n: np.ndarray, seen: np.ndarray, suffix: np.ndarray):
+    """Of each context's entries: their occurrences, gain in bits over the suffix, and share by the suffix."""
+    plain = n / seen[of]
+    gain = plain * np.log2(plain / suffix)
+    explicit = np.bincount(of, n, contexts).astype(np.int64)
+    return explicit, np.where(explicit > 0, seen, 0), np.bincount(of, gain, contexts), np.bincount(of, suffix, contexts)
+
+
+def _rests(explicit, seen, gain, share, settings: TreeSettings) -> np.ndarray:
+    """The share that a context leaves to its suffix if it is a state, else 1."""
+    seen = np.maximum(seen, 1)
     # divergence over the explicit symbols and, as one symbol, all others
-    left = F.greatest(1 - F.col("explicit") / F.col("seen"), F.lit(1e-12))
-    left_suffix = F.greatest(1 - F.col("sum_suffix"), F.lit(1e-12))
-    kept = sums.where(F.col("gain") + left * F.log2(left / left_suffix) >= settings.divergence)
-    return kept.select(context, ((F.col("seen") - F.col("explicit") + extra) / (F.col("seen") + extra)).alias("rest"))
-
-
-def _entered(entries: DataFrame, states: DataFrame, context: str, settings: TreeSettings) -> DataFrame:
-    """Adds each entry's share ``p`` and ``gained``: log10 of it over what the symbol has without the entry."""
-    entry = F.when(F.col("rest").isNull(), 0.0).otherwise(F.col("n") / (F.col("seen") + settings.smoothing))
-    left = F.coalesce("rest", F.lit(1.0)) * F.col("suffix")
-    joined = entries.join(states, context, "left").withColumn("p", entry + left)
-    return joined.withColumn("gained", F.log10(F.col("p") / left)).drop("rest")
-
-
-class _Hot:
-    """Figures by hash of frequent words (with their counts), pairs and triples."""
-
-    def __init__(self, words, counts, figures, others, other_figures, total, distinct):
-        order = np.argsort(words)
-        self.words, self.figures = words[order], figures[order]
-        self.root = np.log10(counts[order] + 1.0)
-        self.log_floor = -np.log10(total + distinct + 1)
-        order = np.argsort(others)
-        self.others, self.other_figures = others[order], other_figures[order]
-
-    def score(self, symbols: np.ndarray, rows: np.ndarray):
-        """Score and base (log10) of each symbol as far as they are known here, whether its count is,
-        and the hashes and rows of pairs and triples whose figures are not."""
-        at = _find(self.words, symbols)
-        known = at >= 0
-        if len(self.words):
-            base = self.log_floor + np.where(known, self.root[at], 0.0)
-            score = base + np.where(known, self.figures[at], 0.0)
-        else:
-            base = np.full(len(symbols), self.log_floor)
-            score = base.copy()
-        pairs, at2, triples, at3 = _levels(symbols, rows)
-        keys, places = np.concatenate([pairs, triples]), np.concatenate([at2, at3])
-        found = _find(self.others, keys)
-        hit = np.flatnonzero(found >= 0)
-        if len(hit):
-            score += np.bincount(places[hit], self.other_figures[found[hit]], len(symbols))
-        miss = np.flatnonzero(found < 0)
-        return score, base, known, keys[miss], rows[places[miss]]
-
-
-def _arrays(table: DataFrame) -> list[np.ndarray]:
-    found = table.toArrow()
-    return [found[0].to_numpy().view(np.uint64), *(column.to_numpy() for column in found.columns[1:])]
+    left, left_suffix = np.maximum(1 - explicit / seen, 1e-12), np.maximum(1 - share, 1e-12)
+    state = (explicit > 0) & (gain + left * np.log2(left / left_suffix) >= settings.divergence)
+    return np.where(state, (seen - explicit + settings.smoothing) / (seen + settings.smoothing), 1.0)
+
+
+def _answer(asks: pa.Table, settings: TreeSettings) -> pa.RecordBatch:
+    """What a bucket has found for each chunk's keys, in their order."""
+    kind, bucket = asks["kind"][0].as_py(), asks["bucket"][0].as_py()
+    chunks = asks["chunk"].to_pylist()
+    keys = [_unpacked_keys(one) for one in asks["keys"].to_pylist()]
+    ends = np.cumsum([len(one) for one in keys])
+    distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+
+    def values(name: str, form: str) -> np.ndarray:
+        return np.concatenate([_unpacked(one, form) for one in asks[name].to_pylist()])
+
+    n = np.bincount(inverse, values("n", "<i8")).astype(np.int64)
+    if kind in (_STATES, _DEEPER):
+        gain, share = (np.bincount(inverse, values(name, "<f8")) for name in ("gain", "share"))
+        own = values("seen", "<i8")  # 0 in chunks that own no entry of the context
+        seen = np.zeros(len(distinct), np.int64)
+        seen[inverse[own > 0]] = own[own > 0]
+        found = _rests(n, seen, gain, share, settings)[inverse]
+    else:
+        found = 2 * n[inverse]
+        found[first] += 1  # who owns the key
+    facts = [[int(x)] + [0] * (len(chunks) - 1) for x in (n.sum(), (n > 0).sum())]
+    packed = [_packed_few(one) for one in np.split(found, ends[:-1])]
+    return _batch(_ANSWERS, [[kind] * len(chunks), chunks, [bucket] * len(chunks), packed, *facts])
 
 
 def score_documents(docs: DataFrame, held_out: Column, settings: TreeSettings = TreeSettings()) -> DataFrame:
@@ -193,108 +302,86 @@ def score_documents(docs: DataFrame, held_out: Column, settings: TreeSettings =
     documents give no rows.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "suffix-tree")
+    scratch = Scratch(spark, "suffix-tree", shuffles_go=True)
     held = F.coalesce(held_out, F.lit(False))
-    rows = docs.select("doc_id", "text", held.alias("held_out"))
-    train = rows.where(~F.col("held_out"))
-    often = F.col("n") >= settings.least
-
-    counts = scratch.keep(_counted(train, _words_of, ("key",)), "counts")
-    facts = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    total, distinct = facts["n"], facts["v"]
-    floor = settings.hot_share * total
-    root = (F.col("n") + 1) / (total + distinct + 1)
-
-    # contexts of one word; what occurs there more than once is itself a word that does
-    repeated = counts.where(often)
-    followed = repeated.select(F.col("key").alias("first"), F.col("n").alias("seen"))
-    following = repeated.select(F.col("key").alias("second"), root.alias("suffix"))
-    pairs = _counted(train, _pairs_of, ("first", "second")).where(often)
-    entries = scratch.keep(pairs.join(followed, "first").join(following, "second"), "pairs")
-    states = scratch.keep(_states(entries, "first", settings), "states")
-    pairs = _entered(entries, states, "first", settings)
-    pairs = scratch.keep(
-        pairs.select(_joined_columns("first", "second", _PAIR).alias("key"), "n", "p", "gained"), "pair-shares"
-    )
-    scratch.drop(entries)
-
-    # contexts of two words, each a pair, as is every symbol there with the second of them
-    before = pairs.select(F.col("key").alias("context"), F.col("n").alias("seen"))
-    suffix = pairs.select(F.col("key").alias("last"), F.col("p").alias("suffix"))
-    triples = _counted(train, _triples_of, ("context", "last")).where(often)
-    entries = scratch.keep(triples.join(before, "context").join(suffix, "last"), "triples")
-    deeper = scratch.keep(_states(entries, "context", settings), "deeper-states")
-    triples = _entered(entries, deeper, "context", settings).select(
-        _joined_columns("context", "last", _TRIPLE).alias("key"), "n", F.col("gained").alias("figure")
-    )
-
-    # a state's figure applies to every occurrence of its context, as a symbol always follows
-    passed = F.coalesce(F.log10("rest"), F.lit(0.0))
-    words = counts.join(states.withColumnRenamed("first", "key"), "key", "left").select("key", "n", passed.alias("figure"))
-    pairs = pairs.join(deeper.withColumnRenamed("context", "key"), "key", "left").select(
-        "key", "n", (F.col("gained") + passed).alias("figure")
-    )
-    words = scratch.keep(words, "word-figures")
-    others = scratch.keep(pairs.unionAll(triples), "figures")
-    scratch.drop_all_but(words, others)
-    # at most 1 / hot_share rows a level, as their counts add up to no more than the total
-    hot = F.col("n") >= floor
-    known_words, known_others = _arrays(words.where(hot)), _arrays(others.where(hot).select("key", "figure"))
-    sent = spark.sparkContext.broadcast(_Hot(*known_words, *known_others, total, distinct))
-
-    about = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
-    schema = f"row long, key long, about struct<{about.replace(' ', ': ').replace(',:', ',')}>"
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_figures = sent.value
-        for whole in batches:
-            for batch in parts(whole, "text"):
-                symbols, of, sizes = _symbols(batch.column("text"))
-                n = batch.num_rows
-                row_ids = batch.column("row").to_numpy()
-                score, base, known, keys, row_of_key = hot_figures.score(symbols, of)
-                rare = np.flatnonzero(~known)
-                keys, row_of_key = np.concatenate([symbols[rare], keys]), np.concatenate([of[rare], row_of_key])
-                facts = pa.StructArray.from_arrays(
-                    [
-                        batch.column("doc_id"),
-                        batch.column("held_out"),
-                        pa.array(sizes),
-                        pa.array(np.bincount(of, known, n).astype(np.int64)),
-                        pa.array(np.bincount(of, base, n)),
-                        pa.array(np.bincount(of, score, n)),
-                    ],
-                    [field.split()[0] for field in about.split(", ")],
-                )
-                # one row per document, under a key that nothing else is likely to have,
-                # and one for each word, pair and triple whose figure is not at hand
-                own = mix(row_ids.view(np.uint64) ^ _SALT).view(np.int64)
-                names = ["row", "key", "about"]
-                yield pa.RecordBatch.from_arrays([pa.array(row_ids), pa.array(own), facts], names)
-                for at in range(0, len(keys), _CHUNK // 4):
-                    some = slice(at, at + _CHUNK // 4)
-                    row = pa.array(row_ids[row_of_key[some]])
-                    key = pa.array(keys[some].view(np.int64))
-                    yield pa.RecordBatch.from_arrays([row, key, pa.nulls(len(row), facts.type)], names)
-
-    parts_of = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(scored, schema)
-    rest = words.where(~hot).select("key", F.col("n").alias("count"), "figure").unionAll(
-        others.where(~hot).select("key", F.lit(None).cast("long").alias("count"), "figure")
-    )
-    event = F.col("about").isNull()
-    counted = F.sum(F.when(event & F.col("count").isNotNull(), F.log10(F.col("count") + 1)).otherwise(0.0))
-    figures = F.sum(F.when(event, F.coalesce("figure", F.lit(0.0))).otherwise(0.0))
-    return (
-        parts_of.join(rest, "key", "left")
-        .groupBy("row")
-        .agg(
-            F.max("about.doc_id").alias("doc_id"),
-            F.max("about.held_out").alias("held_out"),
-            F.sum("about.n_tokens").alias("n_tokens"),
-            (F.sum("about.n_known") + F.count_if(event & F.col("count").isNotNull())).alias("n_known"),
-            F.lit(total).cast("long").alias("train_tokens"),
-            (F.sum("about.base") + counted).alias("base_score"),
-            (F.sum("about.score") + counted + figures).alias("score"),
-        )
-        .drop("row")
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), "text", held.alias("held_out"))
+    chunks = scratch.keep(rows.mapInArrow(_chunks, _CHUNKS), "chunks")
+    tokens = chunks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    spread = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1, tokens // _BUCKET, min(spread, tokens >> 17))
+    size, answers = 1, []  # of the words' shares, once it is known
+
+    def ask(words: bool, step, schema: str) -> DataFrame:
+        """``step`` gives batches for each chunk with all answers so far."""
+        total_size = size
+
+        def run(own: pa.Table, found: pa.Table) -> pa.Table:
+            chunk = _Chunk(own.to_pylist()[0], found, settings, total_size)
+            return pa.Table.from_batches(step(chunk))
+
+        def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    yield from step(_Chunk(batch.slice(row, 1).to_pylist()[0], None, settings))
+
+        if words:
+            return chunks.mapInArrow(alone, schema)
+        known = reduce(DataFrame.unionAll, answers).groupBy("chunk")
+        return chunks.groupBy("chunk").cogroup(known).applyInArrow(run, schema)
+
+    def answered(asks: DataFrame, name: str) -> DataFrame:
+        def run(table: pa.Table) -> pa.Table:
+            return pa.Table.from_batches([_answer(table, settings)])
+
+        return scratch.keep(asks.groupBy("kind", "bucket").applyInArrow(run, _ANSWERS), name)
+
+    def words_step(chunk: _Chunk) -> list[pa.RecordBatch]:
+        counts = np.bincount(chunk.places[chunk.train], minlength=len(chunk.words))
+        return [_asks(_WORDS, chunk.id, buckets, chunk.words, counts)]
+
+    def pairs_step(chunk: _Chunk) -> list[pa.RecordBatch]:
+        chunk.count_words()
+        return [_asks(_PAIRS, chunk.id, buckets, *chunk.meet_pairs())]
+
+    def triples_step(chunk: _Chunk) -> list[pa.RecordBatch]:
+        chunk.count_words()
+        chunk.meet_pairs()
+        chunk.count_pairs()
+        own = np.flatnonzero(chunk.pair_owned & chunk.pair_often)
+        first, suffix = chunk.first[own], chunk.root[chunk.second[own]]
+        sums = _context_sums(first, len(chunk.words), chunk.pair_n[own], chunk.n, suffix)
+        states = _asks(_STATES, chunk.id, buckets, *(x[chunk.often] for x in (chunk.words, *sums)))
+        return [states, _asks(_TRIPLES, chunk.id, buckets, *chunk.meet_triples())]
+
+    def deeper_step(chunk: _Chunk, half: int) -> list[pa.RecordBatch]:
+        chunk.count_words()
+        chunk.meet_pairs()
+        chunk.count_pairs()
+        chunk.enter_pairs()
+        chunk.meet_triples()
+        chunk.count_triples()
+        own = np.flatnonzero(chunk.triple_owned & chunk.triple_often)
+        context, suffix = chunk.context[own], chunk.share[chunk.last[own]]
+        sums = _context_sums(context, len(chunk.pairs), chunk.triple_n[own], chunk.pair_n, suffix)
+        return [_asks(_DEEPER, chunk.id, buckets, *(x[chunk.pair_often] for x in (chunk.pairs, *sums)), half=half)]
+
+    answers.append(answered(ask(True, words_step, _ASKS), "words"))
+    facts = answers[0].agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("total", "distinct"))).first()
+    total, size = facts["total"], facts["total"] + facts["distinct"] + 1
+    for step, name in ((pairs_step, "pairs"), (triples_step, "states")):
+        answers.append(answered(ask(False, step, _ASKS), name))
+    # one half of the buckets after the other, as all at once would take the most disk of all steps
+    halves = [ask(False, partial(deeper_step, half=half), _ASKS) for half in (0, 1)]
+    answers += [answered(asks, "deeper-states") for asks in halves]
+
+    def scores_step(chunk: _Chunk) -> list[pa.RecordBatch]:
+        chunk.count_words()
+        chunk.meet_pairs()
+        chunk.count_pairs()
+        chunk.enter_pairs()
+        chunk.meet_triples()
+        chunk.count_triples()
+        chunk.enter_triples()
+        return [chunk.scores(total)]
+
+    return ask(False, scores_step, _SCORES)

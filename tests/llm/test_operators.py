@@ -113,6 +113,43 @@ def test_rare_contexts_are_in_the_tree(spark, hot_share):
     assert got[-5].doc_id == 200 and got[-5].score > got[-5].base_score / 2
 
 
+def _tree_case():
+    rng = random.Random(9)
+    passage = " ".join(f"rare{k}" for k in range(30))
+    texts = [(k, " ".join(f"w{int(rng.expovariate(0.1))}" for _ in range(rng.randrange(90)))) for k in range(300)]
+    return texts + [(500, passage), (503, f"x {passage} y"), (504, None), (505, "a a a a a a a")]
+
+
+def test_many_chunks_and_buckets_of_the_tree(spark, monkeypatch):
+    from tallyworks.llm import suffix_tree_lm as lm
+
+    monkeypatch.setattr(lm, "_CHUNK", 200)
+    monkeypatch.setattr(lm, "_BUCKET", 700)
+    texts, held = _tree_case(), lambda d: d % 7 == 2
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    got = score_documents(docs, F.col("doc_id") % 7 == 2).orderBy("doc_id").collect()
+    assert [r.score for r in got] == pytest.approx([score for _, score in sorted(brute.tree_scores(texts, held))], abs=1e-6)
+    assert [r.n_known for r in got] == [b[3] for b in sorted(brute.base_scores(texts, held))]
+
+
+def test_shuffles_of_the_tree_go_when_read(spark):
+    import glob
+    import os
+    import time
+
+    folders = [str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for top in folders for f in glob.glob(f"{top}/*/shuffle_*.data")}
+    docs = spark.createDataFrame(_tree_case(), "doc_id long, text string").repartition(5)
+    before = files()
+    scored = score_documents(docs, F.col("doc_id") % 7 == 2)
+    for _ in range(20):
+        if not (left := files() - before):
+            break
+        time.sleep(0.5)
+    # a few sums are left, no keys
+    assert sum(map(os.path.getsize, left)) < 2000 and scored.count() == 304
+
+
 def test_planted_vectors_link(spark):
     rng = random.Random(3)
     rows = []
